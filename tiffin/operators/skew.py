@@ -1,0 +1,94 @@
+"""Hot keys: find them cheaply, then keep any one of them from ending up in one task.
+
+A frequency sketch names at most HOT_KEY_LIMIT keys, however large the table is, so what the
+driver holds and what is broadcast has a fixed bound. Any key it leaves out holds less than
+1/HOT_KEY_LIMIT of the rows. Which keys are listed only steers the plan; the result is the same
+with any list, and with none the plan is the ordinary one.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tiffin import settings
+
+HotKeys = Mapping[int, int]  # hash of the key columns -> number of parts to split it into
+
+_SKETCH_GROUPS = 64
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def find_hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    rows_per_part: int | None = None,
+    limit: int | None = None,
+) -> dict[int, int]:
+    """Keys of `df` with more than `rows_per_part` rows, at most `limit` of them.
+
+    One pass over the key columns; tasks send sketches of fixed size, merged in two steps.
+    """
+    rows_per_part = settings.ROWS_PER_PART if rows_per_part is None else rows_per_part
+    limit = settings.HOT_KEY_LIMIT if limit is None else limit
+    counters = max(settings.SKETCH_COUNTERS, 4 * limit)
+    hashed = df.select(
+        key_hash(keys).alias("key"),
+        F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("grp"),
+    )
+    sketches = hashed.groupBy("grp").agg(
+        F.expr(f"approx_top_k_accumulate(key, {counters})").alias("sketch")
+    )
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
+    row = merged.select(F.expr(f"approx_top_k_estimate(sketch, {limit})").alias("top")).first()
+    return {
+        item["item"]: ceil(item["count"] / rows_per_part)
+        for item in (row["top"] or [])
+        if item["item"] is not None and item["count"] > rows_per_part
+    }
+
+
+def is_hot(keys: Sequence[str], hot: HotKeys) -> Column:
+    return key_hash(keys).isin(list(hot))
+
+
+def with_parts(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> DataFrame:
+    """Add `name`, the number of parts of the row's key: 1 unless the key is hot."""
+    if not hot:
+        return df.withColumn(name, F.lit(1))
+    spark: SparkSession = df.sparkSession
+    table = spark.createDataFrame(sorted(hot.items()), "_hash long, _parts int")
+    # Broadcast of at most HOT_KEY_LIMIT rows.
+    joined = df.withColumn("_hash", key_hash(keys)).join(F.broadcast(table), "_hash", "left")
+    return joined.withColumn(name, F.coalesce("_parts", F.lit(1))).drop("_hash", "_parts")
+
+
+def part_of(columns: Sequence[str], parts: str) -> Column:
+    """The one part a row belongs to, from its content, so a retried task agrees with itself."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.col(parts)).cast("int")
+
+
+def every_part(parts: str) -> Column:
+    """One row per part, for the side that is repeated."""
+    return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+
+def lookup_join(left: DataFrame, right: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    """Left join to a side with one row per key.
+
+    Rows of hot keys skip the shuffle: their matches, one row per hot key and so at most
+    HOT_KEY_LIMIT rows, are broadcast.
+    """
+    if not hot:
+        return left.join(right, key, "left")
+    # The hash depends on the type, so both sides need the same one.
+    right = right.withColumn(key, F.col(key).cast(left.schema[key].dataType))
+    hot_left, hot_right = is_hot([key], hot), F.broadcast(right.filter(is_hot([key], hot)))
+    warm = left.filter(~hot_left).join(right.filter(~is_hot([key], hot)), key, "left")
+    return warm.unionByName(left.filter(hot_left).join(hot_right, key, "left"))
