@@ -54,16 +54,18 @@ def left_band_join(
     values: Sequence[str],
     rows_per_part: int | None = None,
 ) -> DataFrame:
-    """`left` (distinct rows with `key`, `second`) joined to observations (`key`, `at`, values)."""
+    """Distinct rows of `left` (`key`, `second`, others) with observations (`key`, `at`, values).
+
+    A row appears once per distinct combination of values, and rows that find none stay once.
+    """
     carried = [c for c in left.columns if c not in ("key", "second")]
     keyed = left.filter(F.col("key").isNotNull() & F.col("second").isNotNull())
     pairs = keyed.select("key", "second").distinct()
-    observations = observations.distinct()
-
-    buckets = observations.withColumn("bucket", F.floor(F.col("at") / band))
+    buckets = observations.select("key", F.floor(F.col("at") / band).alias("bucket"))
     hot_buckets = find_hot_keys(buckets, ["key", "bucket"], rows_per_part)
     hot_pairs = find_hot_keys(left, ["key", "second"], rows_per_part)
-    matches = band_matches(pairs, observations, band, hot_buckets)
+    left = left.distinct()
+    matches = band_matches(pairs, observations.distinct(), band, hot_buckets)
     if not hot_buckets and not hot_pairs:
         return left.join(matches, ["key", "second"], "left").select(*carried, *values)
 

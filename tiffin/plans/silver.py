@@ -101,13 +101,13 @@ def weather_enriched(
 
     Orders without one are kept with NULL measures.
     """
-    placed = (
-        orders.select(
-            "order_id", "order_time", region_of_address("delivery_address").alias("region")
-        )
-        .distinct()
-        .withColumn("key", F.lower("region"))
-        .withColumn("second", F.unix_timestamp("order_time"))
+    region = region_of_address("delivery_address")
+    placed = orders.select(
+        "order_id",
+        "order_time",
+        region.alias("region"),
+        F.lower(region).alias("key"),
+        F.unix_timestamp("order_time").alias("second"),
     )
     observed = weather.dropna(subset=["timestamp", "location", *MEASURES]).select(
         city_key(F.col("location")).alias("key"),

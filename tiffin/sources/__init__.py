@@ -4,4 +4,4 @@ from tiffin.sources.messages import (  # noqa: F401
     message_files,
     message_files_stream,
 )
-from tiffin.sources.tables import TableLoadError, read_table  # noqa: F401
+from tiffin.sources.tables import TableLoadError, read_table, widened  # noqa: F401

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiffin.sources.tables import widened
+
 # A clock inside the test data's time range (orders run from 1995 to 2001).
 AS_OF = "1996-01-03 00:00:00"
 
@@ -16,13 +18,18 @@ STEPS = (
     "order_archived",
 )
 
+ROW_KEYS = {
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+}
+
 
 def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return widened(spark.read.parquet(f"{sf_dir}/{name}.parquet"), *ROW_KEYS[name])
 
 
 def _later(base: str, minutes: Column) -> Column:
@@ -34,7 +41,7 @@ def _start(key: str = "o_orderkey") -> Column:
 
 
 def _region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "region").select(
+    return spark.read.parquet(f"{sf_dir}/region.parquet").select(
         F.col("r_regionkey").cast("long").alias("r_key"), "r_name"
     )
 
@@ -50,7 +57,7 @@ def _order_ids() -> list[Column]:
 def orders_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """2% of the addresses have no region; delays span -60 to 359 minutes."""
     key = F.col("o_orderkey")
-    orders = _table(spark, sf_dir, "orders").withColumn("r_key", F.col("o_custkey") % 5)
+    orders = table(spark, sf_dir, "orders").withColumn("r_key", F.col("o_custkey") % 5)
     address = F.when(key % 50 == 0, "no region").otherwise(
         F.concat(F.col("o_custkey").cast("string"), F.lit(" Main St, "), "r_name")
     )
@@ -70,7 +77,7 @@ def order_events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = F.array(
         *[F.struct(F.lit(i).alias("step"), F.lit(s).alias("event_type")) for i, s in enumerate(STEPS)]
     )
-    rows = _table(spark, sf_dir, "orders").select("*", F.inline(steps))
+    rows = table(spark, sf_dir, "orders").select("*", F.inline(steps))
     return rows.select(
         *_order_ids(),
         _later("o_orderdate", _start() + F.col("step") * (5 + (key * 17) % 40)).alias("event_time"),
@@ -91,7 +98,7 @@ def complaints_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     part = F.col("l_partkey")
     text = F.when(part % 20 == 0, "  ").otherwise(F.concat(F.lit("part "), part.cast("string")))
-    rows = _table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    rows = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
     return rows.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("int").alias("complaint_id"),
         F.col("l_orderkey").cast("int").alias("order_id"),
@@ -112,7 +119,7 @@ def weather_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(sky == 4, "Storm")
         .otherwise("Fog")
     )
-    lines = _table(spark, sf_dir, "lineitem").withColumn("r_key", F.col("l_suppkey") % 5)
+    lines = table(spark, sf_dir, "lineitem").withColumn("r_key", F.col("l_suppkey") % 5)
     minute = (F.col("l_orderkey") * 13 + F.col("l_linenumber") * 101) % 1440
     return lines.join(_region(spark, sf_dir), "r_key").select(
         F.concat(F.lit(" "), F.lower("r_name"), F.lit(" ")).alias("location"),
