@@ -1,0 +1,60 @@
+import datetime as dt
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tiffin.session import ENGINE_SETTINGS  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    base = tmp_path_factory.mktemp("spark")
+    builder = SparkSession.builder.master("local[4]").appName("tests")
+    settings = {
+        **ENGINE_SETTINGS,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.warehouse.dir": str(base / "warehouse"),
+        "spark.checkpoint.dir": str(base / "shared"),
+    }
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = "db_" + tmp_path.name.replace("-", "_").lower()
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path / 'db'}'")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def ts(text):
+    return dt.datetime.fromisoformat(text)
+
+
+def rows(df, *columns):
+    """All rows as sortable text, so that NULLs and mixed types compare."""
+    df = df.select(*(columns or sorted(df.columns)))
+    return sorted(tuple(repr(v) for v in r) for r in df.collect())
+
+
+def plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

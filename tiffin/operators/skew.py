@@ -45,12 +45,15 @@ def find_hot_keys(
     sketches = hashed.groupBy("grp").agg(
         F.expr(f"approx_top_k_accumulate(key, {counters})").alias("sketch")
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
+    # Grouped by a constant: an empty table has no sketch, and merging none is an error.
+    merged = sketches.groupBy(F.lit("all").alias("whole")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch")
+    )
     row = merged.select(F.expr(f"approx_top_k_estimate(sketch, {limit})").alias("top")).first()
     return {
         item["item"]: ceil(item["count"] / rows_per_part)
-        for item in (row["top"] or [])
-        if item["item"] is not None and item["count"] > rows_per_part
+        for item in (row["top"] if row else [])
+        if item["count"] > rows_per_part
     }
 
 
