@@ -50,18 +50,25 @@ def band_tables(spark, seed):
     return left_df, right_df
 
 
-def plain_band(left, right, band):
-    near = (left.key == right.key) & (F.abs(left.second - right.at) <= band)
+def band(left, right, width, rows_per_part=None):
+    """`id` is carried through; the pair of a row is looked up from it."""
+    pair = [F.col("pair.key"), F.col("pair.second")]
+    left = left.select("id", F.struct("key", "second").alias("pair"))
+    return left_band_join(left, *pair, right, width, VALUES, rows_per_part).drop("pair")
+
+
+def plain_band(left, right, width):
+    near = (left.key == right.key) & (F.abs(left.second - right.at) <= width)
     return left.join(right, near, "left").select("id", *VALUES).distinct()
 
 
 @pytest.mark.parametrize("rows_per_part", [10**9, 20, 3])
-@pytest.mark.parametrize("band", [3600, 100])
-def test_band_join_equals_plain_join(spark, rows_per_part, band):
+@pytest.mark.parametrize("width", [3600, 100])
+def test_band_join_equals_plain_join(spark, rows_per_part, width):
     left, right = band_tables(spark, rows_per_part)
     observed = right.filter(F.col("key").isNotNull())
-    got = left_band_join(left, observed, band, VALUES, rows_per_part)
-    assert rows(got) == rows(plain_band(left, right, band))
+    got = band(left, observed, width, rows_per_part)
+    assert rows(got) == rows(plain_band(left, right, width))
 
 
 def test_band_edges(spark):
@@ -73,7 +80,7 @@ def test_band_edges(spark):
         [("k", s, s, "x") for s in (-7200, -3601, -3600, -1, 0, 1, 3599, 3600, 7199, 7200, 7201)],
         "key string, at long, v long, w string",
     )
-    got = left_band_join(left, right, 3600, VALUES)
+    got = band(left, right, 3600)
     assert rows(got) == rows(plain_band(left, right, 3600))
 
 

@@ -1,0 +1,158 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tiffin import schemas
+from tiffin.plans import jobs
+from tiffin.plans.calendar import calendar, calendar_of
+from tiffin.plans.quality import QualityError, run_checks
+from tiffin.session import CatalogBinding, shuffle_partitions
+from tiffin.sinks.staging import staged, staging_root
+from tiffin.sinks.tables import TableStore, stamped
+from tiffin.sources.tables import TableLoadError, widened
+from tiffin.testbed import fixtures
+
+
+def test_calendar(spark):
+    days = calendar(spark)
+    assert days.count() == 3653
+    by_date = {str(r.date): r for r in days.filter("date < '2021-01-02'").collect()}
+    assert by_date["2020-01-01"].is_holiday and by_date["2020-12-25"].is_holiday
+    assert by_date["2020-01-03"].is_short_friday and not by_date["2020-01-03"].is_weekend
+    assert by_date["2020-01-04"].day_of_week == "Saturday" and by_date["2020-01-05"].is_weekend
+
+
+def test_calendar_of_a_table(spark):
+    df = spark.sql("select timestamp'2024-02-28 23:59:59' t union all select timestamp'2024-03-01'")
+    assert [str(r.date) for r in calendar_of(df, "t").collect()] == [
+        "2024-02-28",
+        "2024-02-29",
+        "2024-03-01",
+    ]
+    assert calendar_of(df.filter("false"), "t").isEmpty()
+
+
+def test_missing_table(spark):
+    with pytest.raises(TableLoadError, match="no_such_table"):
+        TableStore(spark).read("no_such_table")
+
+
+def test_write_modes(spark, database):
+    store = TableStore(spark, database)
+    df = spark.range(3).select(F.col("id").alias("a"), (F.col("id") * 10).alias("b"))
+    store.create_or_append(df, "t")
+    store.create_or_append(df.select("b", "a"), "t")  # by name, not position
+    assert store.read("t").filter("b <> a * 10").isEmpty()
+    assert store.read("t").count() == 6
+    store.write(df, "t", "overwrite")
+    assert store.read("t").count() == 3
+    with pytest.raises(Exception, match="already exists"):
+        store.create(df, "t")
+    with pytest.raises(ValueError):
+        store.write(df, "t", "merge")
+
+
+def test_ensure_is_idempotent(spark, database):
+    store = TableStore(spark, database)
+    store.ensure("orders_bronze", schemas.ORDERS)
+    store.ensure("orders_bronze", schemas.ORDERS)
+    assert store.read("orders_bronze").schema.names == schemas.ORDERS.names
+    assert store.read("orders_bronze").isEmpty()
+
+
+def test_stamp_replaces_an_inherited_one(spark):
+    df = stamped(spark.sql("select 1 a, timestamp'2000-01-01' ingestion_time"))
+    assert df.columns == ["a", "ingestion_time"]
+    assert df.filter("ingestion_time > timestamp'2020-01-01'").count() == 1
+
+
+def test_catalog_binding():
+    binding = CatalogBinding("lake", "s3a://warehouse", options={"spark.x": "y"})
+    assert binding.settings() == {
+        "spark.sql.catalog.lake": "org.apache.iceberg.spark.SparkCatalog",
+        "spark.sql.catalog.lake.type": "hadoop",
+        "spark.sql.catalog.lake.warehouse": "s3a://warehouse",
+        "spark.x": "y",
+    }
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions(0) == 8
+    assert shuffle_partitions(100 * 10**12) == 745059
+
+
+def test_staging_uses_the_sessions_folder(spark):
+    assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    df = staged(spark.range(5), "five")
+    assert df.count() == 5 and staging_root(spark) in df.inputFiles()[0]
+
+
+def test_widened(spark, sf_dir):
+    one_file = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    spread = widened(one_file.select("o_orderkey"), "o_orderkey")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, 1, 9)
+    assert widened(many, "id") is many
+
+
+@pytest.fixture(scope="module")
+def full_run(spark, sf_dir, tmp_path_factory):
+    path = tmp_path_factory.mktemp("full_run")
+    spark.sql(f"CREATE DATABASE full_run LOCATION '{path}'")
+    store = TableStore(spark, "full_run")
+    tables = jobs.run_all(
+        store, lambda topic: fixtures.messages(spark, sf_dir, topic), fixtures.as_of()
+    )
+    yield store, tables
+    spark.sql("DROP DATABASE full_run CASCADE")
+
+
+def test_full_run_writes_every_table(full_run):
+    store, tables = full_run
+    assert len(tables) == 18
+    for table in tables:
+        df = store.read(table)
+        assert not df.isEmpty(), table
+        assert ("ingestion_time" in df.columns) == (not table.endswith("_bronze")), table
+
+
+def test_gold_rerun_adds_nothing(full_run):
+    store, _ = full_run
+    before = store.read("gold_daily_business_summary").drop("ingestion_time")
+    before = rows(before.drop("avg_delivery_delay", "avg_prep_time", "avg_delivery_time"))
+    jobs.run_table_job(store, "gold_daily_business_summary")
+    after = store.read("gold_daily_business_summary").drop("ingestion_time")
+    assert rows(after.drop("avg_delivery_delay", "avg_prep_time", "avg_delivery_time")) == before
+
+
+def test_silver_layout_and_modes(full_run):
+    store, _ = full_run
+    events = store.read("silver_order_events_clean")
+    assert events.schema.names == schemas.SILVER_ORDER_EVENTS.names
+    count = events.count()
+    jobs.run_table_job(store, "silver_order_events_clean", fixtures.as_of())
+    assert store.read("silver_order_events_clean").count() == 2 * count
+    jobs.run_table_job(store, "silver_order_events_clean", fixtures.as_of(), "overwrite")
+    assert store.read("silver_order_events_clean").count() == count
+
+
+def test_status_history_is_a_chain(full_run):
+    store, _ = full_run
+    history = store.read("silver_order_status_scd2")
+    current = history.groupBy("order_id").agg(F.count_if("is_current").alias("n"))
+    assert current.filter("n <> 1").isEmpty()
+    starts = history.select("order_id", F.col("effective_time").alias("end_time")).distinct()
+    ended = history.filter("end_time is not null")
+    assert ended.join(starts, ["order_id", "end_time"], "left_anti").isEmpty()
+
+
+def test_quality_of_the_full_run(full_run):
+    store, _ = full_run
+    reports = run_checks(store, mode="overwrite")
+    assert not any(reports["orders"].values()) and not any(reports["deliveries"].values())
+    assert reports["complaints"]["invalid_complaint_type"] > 0
+    assert store.exists("silver_weather_enriched_valid")
+    jobs.run_table_job(store, "silver_orders_clean")  # a second append repeats every order
+    with pytest.raises(QualityError):
+        run_checks(store, mode="overwrite")
+    jobs.run_table_job(store, "silver_orders_clean", mode="overwrite")

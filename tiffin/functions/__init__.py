@@ -5,5 +5,6 @@ from tiffin.functions.columns import (  # noqa: F401
     is_severe_weather,
     minutes_between,
     order_status,
+    present,
     region_of_address,
 )

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from tiffin import settings
 
@@ -47,3 +49,16 @@ def is_severe_weather(precipitation: Column, wind_speed: Column) -> Column:
 
 def any_of(column: Column, values: Iterable[str]) -> Column:
     return column.isin(list(values))
+
+
+def present(df: DataFrame, *columns: str) -> Column:
+    """True when all columns have a value; NaN is none.
+
+    The same rows as `dropna`, but in a form that reaches the file scan.
+    """
+    checks = []
+    for name in columns:
+        checks.append(F.col(name).isNotNull())
+        if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+            checks.append(~F.isnan(name))
+    return reduce(lambda a, b: a & b, checks)

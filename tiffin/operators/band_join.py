@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.operators.skew import HotKeys, every_part, find_hot_keys, part_of, with_parts
@@ -48,27 +48,34 @@ def band_matches(
 
 
 def left_band_join(
-    left: DataFrame,
+    rows: DataFrame,
+    key: Column,
+    second: Column,
     observations: DataFrame,
     band: int,
     values: Sequence[str],
     rows_per_part: int | None = None,
 ) -> DataFrame:
-    """Distinct rows of `left` (`key`, `second`, others) with observations (`key`, `at`, values).
+    """Distinct `rows` with the observations (`key`, `at`, values) of their `key` and time.
 
     A row appears once per distinct combination of values, and rows that find none stay once.
     """
-    carried = [c for c in left.columns if c not in ("key", "second")]
-    keyed = left.filter(F.col("key").isNotNull() & F.col("second").isNotNull())
-    pairs = keyed.select("key", "second").distinct()
+    carried = rows.columns
+    keyed = rows.select(key.alias("key"), second.alias("second"))
     buckets = observations.select("key", F.floor(F.col("at") / band).alias("bucket"))
     hot_buckets = find_hot_keys(buckets, ["key", "bucket"], rows_per_part)
-    hot_pairs = find_hot_keys(left, ["key", "second"], rows_per_part)
-    left = left.distinct()
+    hot_pairs = find_hot_keys(keyed, ["key", "second"], rows_per_part)
+
+    pairs = keyed.filter(F.col("key").isNotNull() & F.col("second").isNotNull()).distinct()
     matches = band_matches(pairs, observations.distinct(), band, hot_buckets)
     if not hot_buckets and not hot_pairs:
+        # Copies of a row share its pair, so one shuffle serves the distinct and the join.
+        left = rows.withColumn("key", key).withColumn("second", second)
+        left = left.repartition("key", "second").distinct()
         return left.join(matches, ["key", "second"], "left").select(*carried, *values)
 
+    left = rows.distinct().withColumn("key", key).withColumn("second", second)
+
     # Parts of the match lists: a pair may draw on the bucket before, its own, and the next.
     def list_parts(df: DataFrame) -> DataFrame:
         df = df.withColumn("own", F.floor(F.col("second") / band))
@@ -82,9 +89,9 @@ def left_band_join(
     def both_parts(df: DataFrame) -> DataFrame:
         return with_parts(list_parts(df), ["key", "second"], hot_pairs, "row_parts")
 
-    rows = both_parts(left)
-    rows = rows.withColumn("row_part", part_of(carried, "row_parts"))
-    rows = rows.withColumn("list_part", every_part("list_parts")).drop("row_parts", "list_parts")
+    left = both_parts(left)
+    left = left.withColumn("row_part", part_of(carried, "row_parts"))
+    left = left.withColumn("list_part", every_part("list_parts")).drop("row_parts", "list_parts")
 
     lists = both_parts(matches).withColumn("found", F.lit(True))
     real = lists.withColumn("list_part", part_of(values, "list_parts"))
@@ -95,6 +102,6 @@ def left_band_join(
     lists = real.unionByName(blank, allowMissingColumns=True)
     lists = lists.withColumn("row_part", every_part("row_parts")).drop("row_parts", "list_parts")
 
-    joined = rows.join(lists, ["key", "second", "row_part", "list_part"], "left")
+    joined = left.join(lists, ["key", "second", "row_part", "list_part"], "left")
     unmatched_once = F.col("found").isNull() & (F.col("list_part") == 0)
     return joined.filter(F.col("found") | unmatched_once).select(*carried, *values)

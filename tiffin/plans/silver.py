@@ -15,6 +15,7 @@ from tiffin.functions import (
     delay_category,
     minutes_between,
     order_status,
+    present,
     region_of_address,
 )
 from tiffin.operators.band_join import left_band_join
@@ -48,7 +49,7 @@ def orders_clean(bronze: DataFrame) -> DataFrame:
     times = ["estimated_delivery_time", "actual_delivery_time"]
     delay = minutes_between(*times)
     valid = (
-        bronze.dropna(subset=required + times)
+        bronze.filter(present(bronze, *required, *times))
         .filter((F.col("order_id") > 0) & (F.col("customer_id") > 0) & (F.col("store_id") > 0))
         .filter(F.col("actual_delivery_time") >= F.col("estimated_delivery_time"))
         .filter(delay < settings.MAX_DELAY_MINUTES)
@@ -74,7 +75,7 @@ def orders_clean(bronze: DataFrame) -> DataFrame:
 
 def order_events_clean(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Recent events of a known type."""
-    known = bronze.dropna(subset=["order_id", "event_time", "event_type"]).filter(
+    known = bronze.filter(present(bronze, "order_id", "event_time", "event_type")).filter(
         any_of(F.col("event_type"), settings.EVENT_TYPES)
     )
     return recent(known, "event_time", as_of).distinct()
@@ -83,7 +84,7 @@ def order_events_clean(bronze: DataFrame, as_of: Column | None = None) -> DataFr
 def complaints_clean(bronze: DataFrame) -> DataFrame:
     """Complaints with ids, a type and a description."""
     return (
-        bronze.dropna(subset=["complaint_id", "order_id", "timestamp_received"])
+        bronze.filter(present(bronze, "complaint_id", "order_id", "timestamp_received"))
         .filter(F.trim("complaint_type") != "")
         .filter(F.trim("description") != "")
         .filter((F.col("complaint_id") >= 1) & (F.col("order_id") >= 1))
@@ -101,20 +102,23 @@ def weather_enriched(
 
     Orders without one are kept with NULL measures.
     """
-    region = region_of_address("delivery_address")
     placed = orders.select(
-        "order_id",
-        "order_time",
-        region.alias("region"),
-        F.lower(region).alias("key"),
-        F.unix_timestamp("order_time").alias("second"),
+        "order_id", "order_time", region_of_address("delivery_address").alias("region")
     )
-    observed = weather.dropna(subset=["timestamp", "location", *MEASURES]).select(
+    observed = weather.filter(present(weather, "timestamp", "location", *MEASURES)).select(
         city_key(F.col("location")).alias("key"),
         F.unix_timestamp("timestamp").alias("at"),
         *MEASURES,
     )
-    return left_band_join(placed, observed, band, MEASURES, rows_per_part)
+    return left_band_join(
+        placed,
+        F.lower("region"),
+        F.unix_timestamp("order_time"),
+        observed,
+        band,
+        MEASURES,
+        rows_per_part,
+    )
 
 
 def deliveries_enriched(orders: DataFrame, complaints: DataFrame, weather: DataFrame) -> DataFrame:
