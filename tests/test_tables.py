@@ -60,6 +60,13 @@ def test_ensure_is_idempotent(spark, database):
     assert store.read("orders_bronze").isEmpty()
 
 
+def test_day_partitions_where_the_format_has_them(spark):
+    iceberg = TableStore(spark, "lake", "iceberg").definition("w", schemas.WEATHER, "timestamp")
+    assert iceberg.startswith("CREATE TABLE IF NOT EXISTS lake.w (`location` string, `timestamp` ")
+    assert iceberg.endswith("USING iceberg PARTITIONED BY (days(`timestamp`))")
+    assert "PARTITIONED" not in TableStore(spark).definition("w", schemas.WEATHER, "timestamp")
+
+
 def test_stamp_replaces_an_inherited_one(spark):
     df = stamped(spark.sql("select 1 a, timestamp'2000-01-01' ingestion_time"))
     assert df.columns == ["a", "ingestion_time"]

@@ -84,7 +84,8 @@ def run_bronze(
     store: TableStore, table: str, messages: MessageSource, as_of: Column | None = None
 ) -> None:
     topic = BRONZE[table]
-    store.ensure(table, schemas.MESSAGES[topic][0])
+    schema, time = schemas.MESSAGES[topic]
+    store.ensure(table, schema, by_day=time)
     store.append(bronze(messages(topic), topic, as_of), table)
 
 
@@ -102,7 +103,7 @@ def run_table_job(
     df = stamped(job.build(*inputs, as_of) if job.clocked else job.build(*inputs))
     mode = mode or job.mode
     if job.schema is not None and mode == "append":
-        store.ensure(table, job.schema)
+        store.ensure(table, job.schema, by_day="event_time")
         store.append(df.select(*job.schema.names), table)
     else:
         store.write(df, table, mode)

@@ -74,10 +74,12 @@ class Tables:
     def complaints(self) -> DataFrame:
         return silver.complaints_clean(self.bronze("complaints"))
 
+    def new_weather(self) -> DataFrame:
+        observed = self._store("weather_bronze", lambda: self.bronze("weather"))
+        return silver.weather_enriched(self.orders(), observed)
+
     def weather(self) -> DataFrame:
-        return self._store(
-            "weather", lambda: silver.weather_enriched(self.orders(), self.bronze("weather"))
-        )
+        return self._store("weather", self.new_weather)
 
     def deliveries(self) -> DataFrame:
         return silver.deliveries_enriched(self.orders(), self.complaints(), self.weather())
@@ -92,9 +94,7 @@ class Tables:
         return fixtures.dirty_orders(self.orders())
 
     def dirty_weather(self) -> DataFrame:
-        return fixtures.dirty_weather(
-            silver.weather_enriched(self.orders(), self.bronze("weather"))
-        )
+        return fixtures.dirty_weather(self.weather())
 
     def dirty_deliveries(self) -> DataFrame:
         return fixtures.dirty_deliveries(self.deliveries())
@@ -171,7 +171,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "silver_orders_clean": lambda t: silver.orders_clean(t.bronze("orders")),
     "silver_order_events_clean": lambda t: t.events(),
     "silver_complaints_clean": lambda t: t.complaints(),
-    "silver_weather_enriched": lambda t: silver.weather_enriched(t.orders(), t.bronze("weather")),
+    "silver_weather_enriched": lambda t: t.new_weather(),
     "band_join_bucketed": _band_join,
     "silver_deliveries_enriched": lambda t: t.deliveries(),
     "silver_dim_time": lambda t: t.calendar(),
