@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tests.conftest import rows
-from tiffin.operators import intervals
+from tiffin.operators import band_join, intervals
 from tiffin.operators.band_join import left_band_join
 from tiffin.operators.intervals import with_end_time
 from tiffin.operators.rules import RuleSet, not_null
@@ -71,6 +71,23 @@ def test_band_join_equals_plain_join(spark, rows_per_part, width):
     assert rows(got) == rows(plain_band(left, right, width))
 
 
+def test_band_join_splits_the_hot_rows(spark, monkeypatch):
+    left, right = band_tables(spark, 0)
+    split = band_join._split
+    seen = []
+
+    def spy(rows, *rest):
+        seen.append((rows.count(), rest[3], rest[4]))
+        return split(rows, *rest)
+
+    monkeypatch.setattr(band_join, "_split", spy)
+    band(left, right.filter(F.col("key").isNotNull()), 3600, 20).collect()
+    (rows_split, hot_buckets, hot_pairs), = seen
+    assert hot_buckets and hot_pairs
+    near = left.filter("key = 'hot' and second between 3600 and 14399").count()
+    assert near <= rows_split < left.count()
+
+
 def test_band_edges(spark):
     left = spark.createDataFrame(
         [(i, "k", s) for i, s in enumerate([-3600, -1, 0, 1, 3599, 3600, 3601, 7200, 10800])],

@@ -19,7 +19,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.operators.skew import HotKeys, every_part, find_hot_keys, part_of, with_parts
+from tiffin.operators.skew import (
+    HotKeys,
+    every_part,
+    find_hot_keys,
+    is_hot,
+    part_of,
+    with_parts,
+)
 
 
 def band_matches(
@@ -60,40 +67,69 @@ def left_band_join(
 
     A row appears once per distinct combination of values, and rows that find none stay once.
     """
-    carried = rows.columns
-    keyed = rows.select(key.alias("key"), second.alias("second"))
+    rows = rows.withColumn("key", key).withColumn("second", second)
     buckets = observations.select("key", F.floor(F.col("at") / band).alias("bucket"))
     hot_buckets = find_hot_keys(buckets, ["key", "bucket"], rows_per_part)
-    hot_pairs = find_hot_keys(keyed, ["key", "second"], rows_per_part)
-
-    pairs = keyed.filter(F.col("key").isNotNull() & F.col("second").isNotNull()).distinct()
-    matches = band_matches(pairs, observations.distinct(), band, hot_buckets)
+    hot_pairs = find_hot_keys(rows, ["key", "second"], rows_per_part)
     if not hot_buckets and not hot_pairs:
-        # Copies of a row share its pair, so one shuffle serves the distinct and the join.
-        left = rows.withColumn("key", key).withColumn("second", second)
-        left = left.repartition("key", "second").distinct()
-        return left.join(matches, ["key", "second"], "left").select(*carried, *values)
-
-    left = rows.distinct().withColumn("key", key).withColumn("second", second)
+        return _plain(rows, observations, band, values)
 
-    # Parts of the match lists: a pair may draw on the bucket before, its own, and the next.
-    def list_parts(df: DataFrame) -> DataFrame:
-        df = df.withColumn("own", F.floor(F.col("second") / band))
-        near = []
+    # A pair draws on the bucket before its own, its own, and the next.
+    own = F.floor(F.col("second") / band)
+    hot = F.lit(False)
+    if hot_pairs:
+        hot = hot | is_hot(["key", "second"], hot_pairs)
+    if hot_buckets:
         for shift in (-1, 0, 1):
-            df = df.withColumn("bucket", F.col("own") + shift)
-            df = with_parts(df, ["key", "bucket"], hot_buckets, f"near{shift + 1}")
-            near.append(f"near{shift + 1}")
-        return df.withColumn("list_parts", F.greatest(*near)).drop("own", "bucket", *near)
+            hot = hot | F.xxhash64(F.col("key"), own + shift).isin(list(hot_buckets))
+    warm = _plain(rows.filter(~hot), observations, band, values)
+    split = _split(rows.filter(hot), observations, band, values, hot_buckets, hot_pairs)
+    return warm.unionByName(split)
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select("key", "second").dropna().distinct()
+
+
+def _plain(
+    rows: DataFrame, observations: DataFrame, band: int, values: Sequence[str]
+) -> DataFrame:
+    carried = [c for c in rows.columns if c not in ("key", "second")]
+    matches = band_matches(_pairs(rows), observations.distinct(), band)
+    # Copies of a row share its pair, so one shuffle serves the distinct and the join.
+    left = rows.repartition("key", "second").distinct()
+    return left.join(matches, ["key", "second"], "left").select(*carried, *values)
+
+
+def _split(
+    rows: DataFrame,
+    observations: DataFrame,
+    band: int,
+    values: Sequence[str],
+    hot_buckets: HotKeys,
+    hot_pairs: HotKeys,
+) -> DataFrame:
+    """The same for rows of hot pairs or near hot buckets.
+
+    A pair's rows are cut into `row_parts` and its match list into `list_parts`; each part of the
+    one meets each part of the other once.
+    """
+    carried = [c for c in rows.columns if c not in ("key", "second")]
 
-    def both_parts(df: DataFrame) -> DataFrame:
-        return with_parts(list_parts(df), ["key", "second"], hot_pairs, "row_parts")
+    def with_both_parts(df: DataFrame) -> DataFrame:
+        df = with_parts(df, ["key", "second"], hot_pairs, "row_parts")
+        near = ["near_before", "near_own", "near_after"]
+        for shift, name in zip((-1, 0, 1), near):
+            df = df.withColumn("bucket", F.floor(F.col("second") / band) + shift)
+            df = with_parts(df, ["key", "bucket"], hot_buckets, name)
+        return df.withColumn("list_parts", F.greatest(*near)).drop("bucket", *near)
 
-    left = both_parts(left)
+    left = with_both_parts(rows.distinct())
     left = left.withColumn("row_part", part_of(carried, "row_parts"))
     left = left.withColumn("list_part", every_part("list_parts")).drop("row_parts", "list_parts")
 
-    lists = both_parts(matches).withColumn("found", F.lit(True))
+    matches = band_matches(_pairs(rows), observations.distinct(), band, hot_buckets)
+    lists = with_both_parts(matches).withColumn("found", F.lit(True))
     real = lists.withColumn("list_part", part_of(values, "list_parts"))
     # A split list gets one empty entry per part, so that no part of it looks unmatched.
     blank = lists.filter(F.col("list_parts") > 1)

@@ -48,7 +48,7 @@ WEEKEND = ("Saturday", "Sunday")
 SHORT_DAY = "Friday"
 
 # A key with more rows than this is split into parts of about this many rows.
-ROWS_PER_PART = 1_000_000
+ROWS_PER_PART = 5_000_000
 # At most this many keys are treated as hot; any other key holds less than 1/HOT_KEY_LIMIT of the rows.
 HOT_KEY_LIMIT = 1024
 # Counters in the frequency sketch; its error is about 3.5 / SKETCH_COUNTERS of the rows.
