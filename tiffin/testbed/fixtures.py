@@ -1,4 +1,8 @@
-"""Delivery-shaped projections of the test tables, in the layout of the bronze tables."""
+"""Delivery-shaped projections of the test tables, in the layout of the bronze tables.
+
+Ids keep the 64 bits of the test tables, so that no size of them overflows. Messages are decoded
+with the topics' 32-bit ids.
+"""
 
 from __future__ import annotations
 
@@ -48,8 +52,8 @@ def _region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_ids() -> list[Column]:
     return [
-        F.col("o_orderkey").cast("int").alias("order_id"),
-        F.col("o_custkey").cast("int").alias("customer_id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
         (101 + F.col("o_custkey") % 3).cast("int").alias("store_id"),
     ]
 
@@ -100,8 +104,8 @@ def complaints_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(part % 20 == 0, "  ").otherwise(F.concat(F.lit("part "), part.cast("string")))
     rows = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
     return rows.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("int").alias("complaint_id"),
-        F.col("l_orderkey").cast("int").alias("order_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("complaint_id"),
+        F.col("l_orderkey").alias("order_id"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp_received"),
         kind.alias("complaint_type"),
         text.alias("description"),
@@ -187,7 +191,7 @@ def dirty_orders(orders: DataFrame) -> DataFrame:
     rows = F.array(
         marked,
         F.when(key % 53 == 0, copy(key)),
-        F.when(key % 59 == 0, copy(F.lit(None).cast("int"))),
+        F.when(key % 59 == 0, copy(F.lit(None).cast("long"))),
     )
     return orders.select(F.inline(F.array_compact(rows)))
 

@@ -30,7 +30,7 @@ _REPORTED_LATE = "delay_category = 'late'"
 
 PARTS = {
     "fx_orders": f"""
-SELECT o_orderkey::INT AS order_id, o_custkey::INT AS customer_id,
+SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   (101 + o_custkey % 3)::INT AS store_id,
   o_orderdate + INTERVAL 1 MINUTE * ({_START})::INT AS event_time,
   o_orderdate + INTERVAL 1 MINUTE * ({_START} + (o_orderkey*31) % 120)::INT AS "timestamp",
@@ -41,7 +41,7 @@ SELECT o_orderkey::INT AS order_id, o_custkey::INT AS customer_id,
     AS actual_delivery_time
 FROM orders JOIN region ON r_regionkey = o_custkey % 5""",
     "fx_events": f"""
-SELECT o_orderkey::INT AS order_id, o_custkey::INT AS customer_id,
+SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   (101 + o_custkey % 3)::INT AS store_id,
   o_orderdate + INTERVAL 1 MINUTE * ({_START} + step * (5 + (o_orderkey*17) % 40))::INT
     AS event_time,
@@ -50,7 +50,7 @@ SELECT o_orderkey::INT AS order_id, o_custkey::INT AS customer_id,
 FROM orders, (VALUES (0,'order_received'), (1,'order_in_preparation'),
   (2,'order_sent_out_for_delivery'), (3,'order_delivered'), (4,'order_archived')) s(step, event_type)""",
     "fx_complaints": """
-SELECT (l_orderkey*10 + l_linenumber)::INT AS complaint_id, l_orderkey::INT AS order_id,
+SELECT l_orderkey*10 + l_linenumber AS complaint_id, l_orderkey AS order_id,
   l_shipdate AS timestamp_received,
   CASE l_linenumber % 5 WHEN 0 THEN 'Late delivery' WHEN 1 THEN 'Wrong order'
     WHEN 2 THEN 'Cold food' WHEN 3 THEN 'Missing item' ELSE 'Bad service' END AS complaint_type,
@@ -65,7 +65,8 @@ SELECT concat(' ', lower(r_name), ' ') AS location,
     WHEN 3 THEN 'Rain' WHEN 4 THEN 'Storm' ELSE 'Fog' END AS weather_condition
 FROM lineitem JOIN region ON r_regionkey = l_suppkey % 5""",
     "b_orders": f"""
-SELECT * REPLACE (CASE WHEN order_id % 89 = 0 THEN NULL ELSE order_id END AS order_id)
+SELECT * REPLACE (CASE WHEN order_id % 89 <> 0 THEN order_id::INT END AS order_id,
+  customer_id::INT AS customer_id)
 FROM fx_orders WHERE order_id % 97 <> 0 AND event_time >= {_CUT}""",
     "s_orders": f"""
 SELECT DISTINCT order_id, customer_id, store_id, event_time, "timestamp" AS order_time,
@@ -262,8 +263,12 @@ _WEATHER_COLUMNS = (
 
 QUERIES = {
     "bronze_orders": "SELECT * FROM b_orders",
-    "bronze_order_events": f"SELECT * FROM fx_events WHERE event_time >= {_CUT}",
-    "bronze_complaints": f"SELECT * FROM fx_complaints WHERE timestamp_received >= {_CUT}",
+    "bronze_order_events": f"""
+SELECT * REPLACE (order_id::INT AS order_id, customer_id::INT AS customer_id)
+FROM fx_events WHERE event_time >= {_CUT}""",
+    "bronze_complaints": f"""
+SELECT * REPLACE (complaint_id::INT AS complaint_id, order_id::INT AS order_id)
+FROM fx_complaints WHERE timestamp_received >= {_CUT}""",
     "bronze_weather": f'SELECT * FROM fx_weather WHERE "timestamp" >= {_CUT}',
     "stream_bronze_orders": "SELECT * FROM b_orders",
     "stream_drop_replays": "SELECT DISTINCT * FROM b_orders",
