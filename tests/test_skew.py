@@ -62,8 +62,7 @@ def plain_band(left, right, width):
     return left.join(right, near, "left").select("id", *VALUES).distinct()
 
 
-@pytest.mark.parametrize("rows_per_part", [10**9, 20, 3])
-@pytest.mark.parametrize("width", [3600, 100])
+@pytest.mark.parametrize("rows_per_part, width", [(10**9, 3600), (20, 3600), (3, 100)])
 def test_band_join_equals_plain_join(spark, rows_per_part, width):
     left, right = band_tables(spark, rows_per_part)
     observed = right.filter(F.col("key").isNotNull())
@@ -117,8 +116,7 @@ def history_table(spark, seed):
     return spark.createDataFrame(sorted(data), "k int, t timestamp, kind string, extra long")
 
 
-@pytest.mark.parametrize("cuts", [2, 7, 256])
-@pytest.mark.parametrize("rows_per_part", [10**9, 100, 2])
+@pytest.mark.parametrize("rows_per_part, cuts", [(10**9, 2), (100, 2), (2, 7), (100, 256)])
 def test_end_time_equals_plain_window(spark, monkeypatch, cuts, rows_per_part):
     monkeypatch.setattr(intervals, "CUTS", cuts)
     df = history_table(spark, cuts).repartition(6)

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,3 +165,64 @@ def test_quality_of_the_full_run(full_run):
     with pytest.raises(QualityError):
         run_checks(store, mode="overwrite")
     jobs.run_table_job(store, "silver_orders_clean", mode="overwrite")
+
+
+def put_messages(folder, topic, *messages):
+    folder = folder / topic
+    folder.mkdir(parents=True, exist_ok=True)
+    name = f"part{len(list(folder.iterdir()))}"
+    (folder / name).write_text("\n".join(json.dumps(m) for m in messages) + "\n")
+
+
+def test_jobs_from_the_command_line(spark, database, tmp_path):
+    def order(order_id, minutes):
+        return {
+            "order_id": order_id,
+            "customer_id": 1,
+            "store_id": 1,
+            "event_time": "2024-01-02T00:00:00",
+            "timestamp": "2024-01-02T00:00:00",
+            "delivery_address": "x, y",
+            "estimated_delivery_time": "2024-01-02T01:00:00",
+            "actual_delivery_time": f"2024-01-02T01:{minutes}:00",
+        }
+
+    inbox = tmp_path / "in"
+    put_messages(inbox, "orders-topic", order(1, "00"), order(1, "00"), order(2, "30"))
+    common = ["--namespace", database, "--files", str(inbox), "--as-of", "2024-01-03 00:00:00"]
+    stream = ["--checkpoint", str(tmp_path / "check")]
+    keys = ["--replay-key", "order_id", "--replay-key", "event_time"]
+    store = TableStore(spark, database)
+
+    jobs.main(["orders_bronze", *common, *stream, *keys])
+    jobs.main(["orders_bronze", *common, *stream, *keys])
+    assert store.read("orders_bronze").count() == 2
+    # A batch would add files that the stream's readers do not see.
+    with pytest.raises(ValueError, match="filled by stream"):
+        jobs.main(["orders_bronze", *common])
+    jobs.main(["silver_orders_clean", *common])
+    assert rows(store.read("silver_orders_clean"), "order_id", "status") == [
+        ("1", "'on_time'"),
+        ("2", "'late'"),
+    ]
+    jobs.main(["quality_orders", *common])
+    jobs.main(["silver_orders_clean", *common])
+    with pytest.raises(QualityError):
+        jobs.main(["quality_orders", *common])
+    with pytest.raises(SystemExit):
+        jobs.main(["weather_bronze", "--namespace", database])
+    jobs.main(["silver_dim_time", *common])
+    assert store.read("silver_dim_time").count() == 3653
+
+
+def test_batch_bronze_reads_everything_again(spark, database, tmp_path):
+    inbox = tmp_path / "in"
+    seen = {"location": "x", "timestamp": "2024-01-02 00:00:00", "temperature": 1.0}
+    put_messages(inbox, "weather-api-topic", seen)
+    common = ["weather_bronze", "--namespace", database, "--files", str(inbox)]
+    common += ["--as-of", "2024-01-03 00:00:00"]
+    jobs.main(common)
+    jobs.main(common)
+    assert TableStore(spark, database).read("weather_bronze").count() == 2
+    with pytest.raises(ValueError, match="filled by batch"):
+        jobs.main([*common, "--checkpoint", str(tmp_path / "check")])

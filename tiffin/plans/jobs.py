@@ -1,6 +1,6 @@
 """The named jobs: which tables each reads, how it computes, how it writes.
 
-    spark-submit --py-files ... -m tiffin.plans.jobs gold_peak_hours_analysis --namespace lake
+    spark-submit --py-files tiffin.zip run_job.py gold_peak_hours_analysis --namespace lake
 """
 
 from __future__ import annotations
@@ -16,8 +16,15 @@ from pyspark.sql.types import StructType
 from tiffin import schemas, settings
 from tiffin.plans import calendar, gold, silver
 from tiffin.plans.bronze import bronze
+from tiffin.session import CatalogBinding, build_session
 from tiffin.sinks.tables import TableStore, stamped
-from tiffin.sources.messages import kafka_batch, message_files
+from tiffin.sources.messages import (
+    kafka_batch,
+    kafka_stream,
+    message_files,
+    message_files_stream,
+)
+from tiffin.streaming.ingest import bronze_stream, ingest_to_table
 
 MessageSource = Callable[[str], DataFrame]  # topic key -> raw messages
 
@@ -86,9 +93,28 @@ def run_bronze(
     topic = BRONZE[table]
     schema, time = schemas.MESSAGES[topic]
     store.ensure(table, schema, by_day=time)
+    store.claim(table, "batch")
     store.append(bronze(messages(topic), topic, as_of), table)
 
 
+def ingest_bronze(
+    store: TableStore,
+    table: str,
+    messages: MessageSource,
+    checkpoint: str,
+    as_of: Column | None = None,
+    replay_keys: Sequence[str] | None = None,
+) -> None:
+    """The incremental form of `run_bronze`: only what arrived since the last run."""
+    topic = BRONZE[table]
+    schema, time = schemas.MESSAGES[topic]
+    store.ensure(table, schema, by_day=time)
+    store.claim(table, "stream")
+    rows = bronze_stream(messages(topic), topic, as_of, replay_keys)
+    query = ingest_to_table(rows, store.name(table), checkpoint, store.table_format)
+    query.awaitTermination()
+
+
 def run_calendar(store: TableStore, mode: str = "overwrite") -> None:
     store.write(stamped(calendar.calendar(store.spark)), CALENDAR, mode)
 
@@ -129,7 +155,6 @@ def run_all(
 
 def main(argv: Sequence[str] | None = None) -> None:
     from tiffin.plans.quality import CHECKS, run_check
-    from tiffin.session import CatalogBinding, build_session
 
     checks = {f"quality_{name}": check for name, check in CHECKS.items()}
     parser = argparse.ArgumentParser(prog="tiffin")
@@ -140,33 +165,39 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--warehouse", help="warehouse location of that catalog")
     parser.add_argument("--kafka", help="bootstrap servers")
     parser.add_argument("--files", help="folder with one folder of JSON lines per topic")
+    parser.add_argument("--checkpoint", help="ingest a bronze table incrementally from here")
+    parser.add_argument("--replay-key", action="append", help="column of the key of a message")
     parser.add_argument("--as-of", help="timestamp to use instead of the clock")
     parser.add_argument("--mode", choices=["append", "overwrite"])
+    parser.add_argument("--input-bytes", type=int, help="size of the input, for the shuffle width")
     args = parser.parse_args(argv)
 
     binding = CatalogBinding(args.catalog, args.warehouse) if args.catalog else None
-    spark = build_session(f"tiffin {args.job}", binding)
+    spark = build_session(f"tiffin {args.job}", binding, args.input_bytes)
     store = TableStore(spark, args.namespace, args.format)
     as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else None
 
     def messages(topic: str) -> DataFrame:
+        name, streamed = settings.TOPICS[topic], args.checkpoint is not None
         if args.kafka:
-            return kafka_batch(spark, args.kafka, settings.TOPICS[topic])
+            read = kafka_stream if streamed else kafka_batch
+            return read(spark, args.kafka, name)
         if args.files:
-            return message_files(spark, f"{args.files}/{settings.TOPICS[topic]}")
+            read = message_files_stream if streamed else message_files
+            return read(spark, f"{args.files}/{name}")
         raise SystemExit("a bronze job needs --kafka or --files")
 
     if args.job == "all":
+        if args.checkpoint:
+            parser.error("--checkpoint belongs to one bronze job")
         run_all(store, messages, as_of, args.mode)
     elif args.job == CALENDAR:
         run_calendar(store, args.mode or "overwrite")
+    elif args.job in BRONZE and args.checkpoint:
+        ingest_bronze(store, args.job, messages, args.checkpoint, as_of, args.replay_key)
     elif args.job in BRONZE:
         run_bronze(store, args.job, messages, as_of)
     elif args.job in checks:
         run_check(store, checks[args.job], args.mode or "append")
     else:
         run_table_job(store, args.job, as_of, args.mode)
-
-
-if __name__ == "__main__":
-    main()

@@ -71,9 +71,12 @@ class Tables:
     def events(self) -> DataFrame:
         return silver.order_events_clean(self.bronze("order_events"), fixtures.as_of())
 
-    def complaints(self) -> DataFrame:
+    def new_complaints(self) -> DataFrame:
         return silver.complaints_clean(self.bronze("complaints"))
 
+    def complaints(self) -> DataFrame:
+        return self._store("complaints", self.new_complaints)
+
     def new_weather(self) -> DataFrame:
         observed = self._store("weather_bronze", lambda: self.bronze("weather"))
         return silver.weather_enriched(self.orders(), observed)
@@ -170,13 +173,13 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "stream_drop_replays": lambda t: _stream(t, 2, schemas.ORDERS.names),
     "silver_orders_clean": lambda t: silver.orders_clean(t.bronze("orders")),
     "silver_order_events_clean": lambda t: t.events(),
-    "silver_complaints_clean": lambda t: t.complaints(),
+    "silver_complaints_clean": lambda t: t.new_complaints(),
     "silver_weather_enriched": lambda t: t.new_weather(),
     "band_join_bucketed": _band_join,
     "silver_deliveries_enriched": lambda t: t.deliveries(),
     "silver_dim_time": lambda t: t.calendar(),
     "silver_order_status_scd2": lambda t: t.history(),
-    "gold_complaints_by_type": lambda t: gold.complaints_by_type(t.complaints()),
+    "gold_complaints_by_type": lambda t: gold.complaints_by_type(t.new_complaints()),
     "gold_delivery_metrics_by_region": lambda t: gold.delivery_metrics_by_region(
         t.deliveries(), t.complaints()
     ),
@@ -201,7 +204,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_orders": lambda t: quality.ORDERS.report(t.dirty_orders()),
     "dq_orders_issues": lambda t: quality.ORDERS.issues(t.dirty_orders()),
     "dq_complaints": lambda t: quality.COMPLAINTS.report(t.complaints()),
-    "dq_complaints_valid": lambda t: quality.COMPLAINTS.valid(t.complaints()),
+    "dq_complaints_valid": lambda t: quality.COMPLAINTS.valid(t.new_complaints()),
     "dq_weather": lambda t: quality.WEATHER.report(t.dirty_weather()),
     "dq_weather_valid": lambda t: quality.WEATHER.valid(t.dirty_weather()),
     "dq_deliveries": lambda t: quality.DELIVERIES.report(t.dirty_deliveries()),
