@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}  # by application, for local sessions without the setting
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -19,11 +20,12 @@ def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors can reach")
-    root = tempfile.mkdtemp(prefix="tiffin-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tiffin-")
+    return _local_roots[context.applicationId]
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
