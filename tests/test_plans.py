@@ -84,12 +84,15 @@ def test_share_of_total_counts_once(stored):
     assert "ReusedExchange" in text
 
 
-def test_band_join_joins_on_keys(stored, spark, sf_dir):
-    weather = Tables(spark, sf_dir).bronze("weather")
-    text = final(silver.weather_enriched(stored["orders"], weather))
+def test_band_join_joins_on_keys(stored, spark, sf_dir, tmp_path):
+    path = str(tmp_path / "weather")
+    Tables(spark, sf_dir).bronze("weather").write.parquet(path)
+    text = final(silver.weather_enriched(stored["orders"], spark.read.parquet(path)))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert re.search(r"SortMergeJoin \[key#\d+, bucket#\d+L\]", text)
     assert re.search(r"SortMergeJoin \[key#\d+, second#\d+L\]", text)
+    # pairs, pairs by bucket, observations by bucket, matches by pair, orders by pair
+    assert shuffles(text) == 5
 
 
 def test_order_filters_reach_the_scan(spark, sf_dir, tmp_path, capsys):

@@ -37,9 +37,9 @@ def band_matches(
 ) -> DataFrame:
     """Inner matches of distinct (`key`, `second`) pairs with (`key`, `at`, ...) observations.
 
-    Returns `key`, `second` and the other observation columns, made distinct.
+    Returns `key`, `second` and the other observation columns, made distinct. Without hot buckets
+    the result is partitioned by `key` and `second`.
     """
-    hot_buckets = hot_buckets or {}
     values = [c for c in observations.columns if c not in ("key", "at")]
     first, last = F.floor((F.col("second") - band) / band), F.floor((F.col("second") + band) / band)
     left = pairs.withColumn("bucket", F.explode(F.sequence(first, last)))
@@ -47,11 +47,16 @@ def band_matches(
     on = ["key", "bucket"]
     if hot_buckets:
         left = with_parts(left, on, hot_buckets, "parts").withColumn("part", every_part("parts"))
-        right = with_parts(right, on, hot_buckets, "parts")
+        right = with_parts(right.distinct(), on, hot_buckets, "parts")
         right = right.withColumn("part", part_of(["at", *values], "parts"))
         left, right, on = left.drop("parts"), right.drop("parts"), [*on, "part"]
+    else:
+        # Copies of an observation share its bucket: one shuffle for the distinct and the join.
+        right = right.repartition(*on).distinct()
     near = F.abs(F.col("second") - F.col("at")) <= band
-    return left.join(right, on).filter(near).select("key", "second", *values).distinct()
+    # Equal readings of one bucket are merged where they meet, before the next shuffle.
+    met = left.join(right, on).filter(near).select(*on, "second", *values).distinct().drop(*on[1:])
+    return met.distinct() if hot_buckets else met.repartition("key", "second").distinct()
 
 
 def left_band_join(
@@ -95,7 +100,7 @@ def _plain(
     rows: DataFrame, observations: DataFrame, band: int, values: Sequence[str]
 ) -> DataFrame:
     carried = [c for c in rows.columns if c not in ("key", "second")]
-    matches = band_matches(_pairs(rows), observations.distinct(), band)
+    matches = band_matches(_pairs(rows), observations, band)
     # Copies of a row share its pair, so one shuffle serves the distinct and the join.
     left = rows.repartition("key", "second").distinct()
     return left.join(matches, ["key", "second"], "left").select(*carried, *values)
@@ -128,7 +133,7 @@ def _split(
     left = left.withColumn("row_part", part_of(carried, "row_parts"))
     left = left.withColumn("list_part", every_part("list_parts")).drop("row_parts", "list_parts")
 
-    matches = band_matches(_pairs(rows), observations.distinct(), band, hot_buckets)
+    matches = band_matches(_pairs(rows), observations, band, hot_buckets)
     lists = with_both_parts(matches).withColumn("found", F.lit(True))
     real = lists.withColumn("list_part", part_of(values, "list_parts"))
     # A split list gets one empty entry per part, so that no part of it looks unmatched.

@@ -121,7 +121,7 @@ def _band_join(t: Tables) -> DataFrame:
         *silver.MEASURES,
     )
     matches = band_matches(
-        orders.dropna().distinct(), observations.distinct(), settings.WEATHER_BAND_SECONDS
+        orders.dropna().distinct(), observations, settings.WEATHER_BAND_SECONDS
     )
     return matches.withColumnsRenamed({"key": "city", "second": "order_second"})
 
