@@ -37,8 +37,7 @@ def band_matches(
 ) -> DataFrame:
     """Inner matches of distinct (`key`, `second`) pairs with (`key`, `at`, ...) observations.
 
-    Returns `key`, `second` and the other observation columns, made distinct. Without hot buckets
-    the result is partitioned by `key` and `second`.
+    Returns `key`, `second` and the other observation columns, made distinct.
     """
     values = [c for c in observations.columns if c not in ("key", "at")]
     first, last = F.floor((F.col("second") - band) / band), F.floor((F.col("second") + band) / band)
@@ -54,9 +53,8 @@ def band_matches(
         # Copies of an observation share its bucket: one shuffle for the distinct and the join.
         right = right.repartition(*on).distinct()
     near = F.abs(F.col("second") - F.col("at")) <= band
-    # Equal readings of one bucket are merged where they meet, before the next shuffle.
-    met = left.join(right, on).filter(near).select(*on, "second", *values).distinct().drop(*on[1:])
-    return met.distinct() if hot_buckets else met.repartition("key", "second").distinct()
+    # Equal readings near a pair are merged in the join's tasks, before the next shuffle.
+    return left.join(right, on).filter(near).select("key", "second", *values).distinct()
 
 
 def left_band_join(
