@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tiffin.llm import exact_dedup
+from tiffin.llm import exact_dedup, simhash
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op9_simhash": simhash.op9_simhash,
 }
 
 ORACLE_SQL = {
