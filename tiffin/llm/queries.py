@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tiffin.llm import exact_dedup, simhash
+from tiffin.llm import exact_dedup, packing, simhash
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op9_simhash": simhash.op9_simhash,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLE_SQL = {
