@@ -1,0 +1,92 @@
+import base64
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiffin.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    places = {}
+    for i, w in enumerate(windows):
+        places.setdefault(w, []).append(i)
+    covered = {i + k for at in places.values() if len(at) > 1 for i in at for k in range(3)}
+    seen, dups = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dups += line in seen
+            seen.add(line)
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dups, len(covered),
+            n < 50 or 100 * len(covered) > 50 * n)
+
+
+def prose(n, seed=1):
+    rng = random.Random(seed)
+    parts = "be com con ter ing tion al re de un able ment st or an the of".split()
+    return " ".join("".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(n))
+
+
+TEXTS = [
+    None, "", " \n\t ", "one", "a b", "a b c", "a b c a b c", "x y x y x y", "a a a a",
+    "l1 x\nl1 x\n \n \nl2\r\nl2\r\nl1 x", "é ü 数字 🙂 x\x1cy #*|<>", "w " * 100_000, prose(80),
+    prose(3000), "\n".join(["same line here"] * 60),
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_counts_match_plain_form(text):
+    assert quality.measure((text or "").encode())[:5] == plain(text)[:5]
+
+
+def verdicts(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r for r in quality.quality(docs).collect()}
+
+
+def test_bands(spark):
+    noise = random.Random(3)
+    coded = base64.b85encode(noise.randbytes(6000)).decode()
+    texts = [
+        prose(60), prose(400), prose(4000), prose(30000),
+        " ".join(coded[i : i + 20] for i in range(0, len(coded), 20)),  # hardly compressible
+        prose(30) + " " + " ".join(f"{prose(1, i % 7)} {i} end." for i in range(3000)),  # repetitive
+        prose(6000) + "".join(f" {'a' * 40}{i}" for i in range(600)),  # one repetitive part
+    ]
+    found = verdicts(spark, texts)
+    assert [found[i].kept for i in range(4)] == [True] * 4
+    assert [found[i].kept for i in range(4, 7)] == [False] * 3
+    assert not any(found[i].base_failed for i in (4, 5, 6))
+
+
+def test_odd_rows(spark):
+    rows = [(None, prose(80)), (1, None), (1, None), (2, ""), (2, prose(80))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {c: F.lit("x") for c in ("ratio", "n_words", "__t", "kept")}
+    )
+    found = quality.quality(docs).collect()
+    assert [r.kept for r in found] == [True, False, False, False, True]
+    prefixed = quality.quality(docs, prefix="q_")
+    assert set(docs.columns) < set(prefixed.columns) and prefixed.first().kept == "x"
+    assert quality.quality(docs.limit(0)).count() == 0
+
+
+def test_query_matches_plain_form(spark, sf_dir):
+    found = {r.doc_id: r for r in quality.op8_quality_rules(spark, sf_dir).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        r = found.pop(d.doc_id)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == plain(d.text)
+        ratio, bad = quality.compression(d.text.encode())
+        low, high = quality.band(len(d.text.encode()))
+        assert r.kept == (not r.base_failed and low <= ratio <= high and bad <= quality.MAX_BAD_CHUNKS)
+        if labels.get(d.doc_id) == 1 and not r.base_failed:
+            assert r.kept
+    assert not found

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tiffin.llm import exact_dedup, language, packing, simhash
+from tiffin.llm import exact_dedup, language, packing, quality, simhash
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op5_language_id": language.op5_language_id,
+    "op8_quality_rules": quality.op8_quality_rules,
     "op9_simhash": simhash.op9_simhash,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
