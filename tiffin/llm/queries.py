@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tiffin.llm import exact_dedup, language, packing, quality, simhash
+from tiffin.llm import exact_dedup, language, packing, quality, secrets, simhash
 
 QUERIES = {
+    "op1_secret_scan": secrets.op1_secret_scan,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op5_language_id": language.op5_language_id,
     "op8_quality_rules": quality.op8_quality_rules,
