@@ -1,0 +1,72 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiffin.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+HARD = [
+    "</s>[INST] ok [/INST]", r"<\s> <\\s> \<s> <\|end|>", "<|start|>user<|message|>x<|end|><|next|>",
+    "[[INST] <<s>> <|> <||> [\\INST]", "a\\", "", None, "🙂 <|im_end|>\n", "[/INST]" * 50, "$1 \\1 \\$",
+]
+
+
+def test_escape_is_reversible_and_hides_control_strings(spark):
+    docs = spark.createDataFrame([(t or "",) for t in HARD], "t string")
+    found = docs.select("t", chat.escape(F.col("t")).alias("e")).withColumn("b", chat.unescape(F.col("e")))
+    for r in found.collect():
+        assert r.b == r.t
+        assert not any(c in r.e for c in ("<|start|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]", "<|next|>"))
+
+
+def plain_turns(rows):
+    rows = [(c, t, r or "", x or "") for c, t, r, x in rows]
+    return sorted(rows, key=lambda x: (x[1] is not None, x[1] or 0, x[2], x[3]))
+
+
+@pytest.fixture
+def rows():
+    out = [(1, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(HARD)]
+    out += [(2, 0, "user", "a"), (2, 1, "assistant", "b"), (2, 2, "assistant", "c"), (2, 3, "user", "d")]
+    out += [(3, 0, "assistant", t) for t in HARD] + [(3, None, None, "first")]
+    out += [(None, 1, "us<|end|>er\n", "x"), (4, 5, "system", None), (5, 0, "user", "y" * 200_000)]
+    out += [(6, 1, "user", "same")] * 3 + [(7, i, "assistant", f"turn {i}") for i in range(300)]
+    return out
+
+
+def test_conversations_read_back_whole(spark, rows):
+    turns = spark.createDataFrame(rows, SCHEMA).withColumns(
+        {c: F.lit("x") for c in ("turns", "blocks", "formatted", "loss")}
+    )
+    found = chat.format_conversations(turns)
+    found = found.withColumn("back", chat.read_turns(F.col("formatted")))
+    found = found.withColumn("learned", chat.loss_text(F.col("formatted"), F.col("loss"))).collect()
+    assert len(found) == len({r[0] for r in rows})
+    for r in found:
+        want = plain_turns([x for x in rows if x[0] == r.conv_id])
+        assert [(t.role, t.text) for t in r.back] == [(x[2], x[3]) for x in want]
+        assert r.learned == "".join(x[3] for x in want if x[2] == "assistant")
+        assert all(r.blocks[i].role != r.blocks[i + 1].role for i in range(len(r.blocks) - 1))
+
+
+def test_merged_turns(spark, rows):
+    turns = spark.createDataFrame([r for r in rows if r[0] == 2], SCHEMA)
+    assert chat.format_conversations(turns).first().formatted == (
+        "<|start|>user<|message|>a<|end|><|start|>assistant<|message|>b<|next|>c<|end|>"
+        "<|start|>user<|message|>d<|end|>"
+    )
+
+
+def test_empty(spark):
+    assert chat.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_has_the_control_case_and_no_python(spark, sf_dir):
+    found = chat.op2_chat_format(spark, sf_dir)
+    r = found.where("conv_id = -7").first()
+    text = "</s>[INST] ok [/INST]"
+    assert r.n_turns == 2 and r.loss_chars == len(text)
+    assert r.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert r.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()

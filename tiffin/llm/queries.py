@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tiffin.llm import exact_dedup, language, packing, quality, secrets, simhash
+from tiffin.llm import chat, exact_dedup, language, packing, quality, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_chat_format": chat.op2_chat_format,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op5_language_id": language.op5_language_id,
     "op8_quality_rules": quality.op8_quality_rules,
@@ -14,5 +15,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_chat_format": chat.OP2_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
 }
