@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tiffin.llm import chat, exact_dedup, language, packing, quality, secrets, simhash
+from tiffin.llm import chat, exact_dedup, language, packing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_chat_format": chat.op2_chat_format,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op5_language_id": language.op5_language_id,
+    "op6_warc": warc.op6_warc,
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_simhash": simhash.op9_simhash,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
@@ -17,4 +18,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_chat_format": chat.OP2_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op6_warc": warc.OP6_SQL,
 }
