@@ -45,10 +45,12 @@ RADIUS = 3
 SEED = 42
 #: Fingerprints that the upper levels of the trees are fitted on.
 SAMPLE_ROWS = 1 << 16
-#: Fingerprints in a shard, about; and in the parts of a larger one.
+#: Fingerprints that live in a shard, about.
 SHARD_ROWS = 2048
-TILE_ROWS = 8192
-MAX_DEPTH = 12
+#: Fingerprints, visitors included, in the parts of a shard that has more. Well above what a shard
+#: holds where fingerprints are spread out, so that only dense groups are cut.
+TILE_ROWS = 1 << 15
+MAX_DEPTH = 16
 _BLOCK_CELLS = 1 << 21
 
 
