@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tiffin.llm import chat, exact_dedup, language, packing, quality, secrets, simhash, warc
+from tiffin.llm import chat, exact_dedup, language, mixing, packing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_chat_format": chat.op2_chat_format,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_mixing": mixing.op4_mixing,
     "op5_language_id": language.op5_language_id,
     "op6_warc": warc.op6_warc,
     "op8_quality_rules": quality.op8_quality_rules,
