@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tiffin.llm import chat, exact_dedup, language, mixing, packing, quality, secrets, simhash, warc
+from tiffin.llm import chat, exact_dedup, language, lm_score, mixing, packing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op5_language_id": language.op5_language_id,
     "op6_warc": warc.op6_warc,
+    "op7_lm_score": lm_score.op7_lm_score,
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_simhash": simhash.op9_simhash,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
