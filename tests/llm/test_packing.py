@@ -1,7 +1,10 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -51,17 +54,39 @@ def check(found, docs, plain, capacity):
     return len(fills)
 
 
-def test_words_give_the_ids_of_whole_texts(plain):
-    tokenizer = packing.WordTokenizer(packing.tokenizer_file())
-    got = tokenizer([t.encode() for t in ODD])
-    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [plain(t)[:-1] for t in ODD]
+def ids_of(tokenizer, texts):
+    return [np.frombuffer(b, "<u4").tolist() for b in tokenizer(pa.array(texts, pa.string()))]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return packing.WordTokenizer(packing.tokenizer_file())
+
+
+def test_words_give_the_ids_of_whole_texts(tokenizer, plain):
+    assert ids_of(tokenizer, ODD) == [plain(t)[:-1] for t in ODD]
+    assert ids_of(tokenizer, []) == []
+
+
+LETTERS = [chr(c) for c in [*range(33, 127), *range(0xA0, 0x250), 0x300, 0x301, 0x3A3, 0x212B, 0x1E9E, 0xFB01]]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from([*LETTERS, *"aeiou'st,.!", "\u00e9t", " "]), max_size=9).map("".join))
+def test_words_of_any_letters(tokenizer, plain, text):
+    assert ids_of(tokenizer, [text]) == [plain(text)[:-1]]
+
+
+def test_every_single_letter(tokenizer, plain):
+    texts = [*LETTERS, *(f"x{c}y" for c in LETTERS), *(f"{c}{c}" for c in LETTERS)]
+    assert ids_of(tokenizer, texts) == [plain(t)[:-1] for t in texts]
 
 
 def test_forgetting_words_changes_nothing(plain, monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 5)
     tokenizer = packing.WordTokenizer(packing.tokenizer_file())
     for t in ODD * 2:
-        assert np.frombuffer(tokenizer([t.encode()])[0], "<u4").tolist() == plain(t)[:-1]
+        assert ids_of(tokenizer, [t]) == [plain(t)[:-1]]
 
 
 def test_odd_rows(spark, plain):

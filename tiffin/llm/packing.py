@@ -21,19 +21,23 @@ stays null. An empty table gives no rows. Other columns of the input take no par
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import staged, table, utf8
+from tiffin.llm.common import staged, table
 
 CAPACITY = 4096
 END_ID = 1
@@ -45,8 +49,8 @@ GENERATIONS = 8
 #: Bins of each shard that the next level packs again.
 REOPENED_BINS = 2
 #: Words whose ids a Python worker remembers; it forgets all when there are more.
-CACHED_WORDS = 400_000
-_CHUNK_BYTES = 1 << 20
+CACHED_WORDS = 1_000_000
+_BATCH_BYTES = 16 << 20
 
 
 def tokenizer_file() -> str:
@@ -55,39 +59,84 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordTokenizer:
-    """Ids of texts, as bytes of little-endian unsigned 32-bit numbers.
+#: Letters whose lower case is one letter, and which have no other composed form.
+_LATIN = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u01bf\u01c4-\u024f"
+#: Punctuation, a Latin word, punctuation. An apostrophe before letters may belong to them.
+_PARTS = re.compile(rf"([!-&(-/:-@\[-`{{-~]*)([{_LATIN}]+)([!-/:-@\[-`{{-~]*)")
 
-    The tokenizer drops white space and never merges across it, so the ids of a text are those of
-    its words one after another; `words` remembers them.
-    """
+
+def byte_alphabet() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in printable)
+    return [chr(c) for _, c in sorted([*zip(printable, printable, strict=True), *zip(others, itertools.count(256))])]
+
+
+class Words(dict):
+    """Ids of words, as bytes; computed when first asked for.
+
+    A word of Latin letters is one unit of the merges, so the tokenizer's model takes it without the
+    steps before. Punctuation around such a word is a unit of its own. All else goes through the
+    whole tokenizer."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        super().__init__()
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
+        self.merge = self.inner.model.tokenize
+        self.alphabet = {b: c for b, c in enumerate(byte_alphabet())}
+
+    def _ids(self, word: str) -> bytes:
+        if "<|" not in word and (m := _PARTS.fullmatch(word)):
+            before, core, after = m.groups()
+            if before or after:
+                # Through the memory, as the same word occurs with other punctuation.
+                return b"".join([self[part] for part in (before, core, after) if part])
+            if not core.isascii():
+                core = "".join(map(str.lower, core)).encode()
+                core = "".join(map(self.alphabet.__getitem__, core))
+            return array("I", [t.id for t in self.merge(core)]).tobytes()
+        return array("I", self.inner.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        found = self._ids(word)
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = found
+        return found
 
-    def _learn(self, new: list[bytes]) -> None:
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-        found = self.inner.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in new], add_special_tokens=False
-        )
-        for word, encoding in zip(new, found, strict=True):
-            self.words[word] = np.array(encoding.ids, dtype="<u4").tobytes()
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
+class WordTokenizer:
+    """Ids of texts, as bytes of unsigned 32-bit numbers in the machine's order.
+
+    The tokenizer drops white space and never merges across it, so the ids of a text are those of
+    its words one after another. Words are numbered by Arrow, a batch of texts at a time, and each
+    different word is looked up once.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.words = Words(path)
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
         # The vocabulary is lower case; only the special tokens' strings are matched before that.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        need = set().union(*split)
-        if new := need.difference(self.words):
-            self._learn(sorted(new))
-            if lost := need.difference(self.words):  # after forgetting
-                self._learn(sorted(lost))
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        special = pc.match_substring(texts, "<|")
+        split = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        coded = split.flatten().dictionary_encode()
+        new = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.words.__getitem__, new))
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
+        word = coded.indices.to_numpy(zero_copy_only=False)
+        ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        begin = 0
+        for end in ends.tolist():
+            here = word[begin:end]
+            size, begin = sizes[here], end
+            shift = starts[here] - (np.cumsum(size) - size)
+            yield flat[np.repeat(shift, size) + np.arange(size.sum())].tobytes()
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -99,18 +148,6 @@ def _tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-def _chunks(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
-    chunk, size = [], 0
-    for text in texts:
-        chunk.append(text)
-        size += len(text)
-        if size >= _CHUNK_BYTES:
-            yield chunk
-            chunk, size = [], 0
-    if chunk:
-        yield chunk
-
-
 _PIECE = pa.schema(
     [
         ("uid", pa.int64()),
@@ -136,30 +173,36 @@ def pieces(
     schema = _PIECE if with_ids else pa.schema([f for f in _PIECE if f.name != "ids"])
     end, width = np.array([END_ID], dtype="<u4").tobytes(), 4 * capacity
 
+    def as_batch(rows: list[list]) -> pa.RecordBatch:
+        columns = zip(zip(*rows, strict=True), schema, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column, type=field.type) for column, field in columns], schema=schema
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(tokenizer)
         uid = TaskContext.get().partitionId() << 36
         for batch in batches:
-            doc_ids, at = batch.column(0).to_pylist(), 0
-            for chunk in _chunks(t.as_buffer().to_pybytes() for t in batch.column(1)):
-                rows = []
-                for ids in encode(chunk):
-                    ids += end
-                    for piece, start in enumerate(range(0, len(ids), width)):
-                        part = ids[start : start + width]
-                        row = [uid, doc_ids[at], piece, start // 4, len(part) // 4, zlib.crc32(part)]
-                        if with_ids:
-                            row.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
-                        rows.append(row)
-                        uid += 1
-                    at += 1
-                columns = [
-                    pa.array(column, type=field.type)
-                    for column, field in zip(zip(*rows, strict=True), schema, strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), utf8(docs[text_col]).alias("t"))
+            rows, size = [], 0
+            doc_ids = batch.column(0).to_pylist()
+            for doc_id, ids in zip(doc_ids, encode(batch.column(1)), strict=True):
+                ids += end
+                for piece, start in enumerate(range(0, len(ids), width)):
+                    part = ids[start : start + width]
+                    row = [uid, doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)]
+                    if with_ids:
+                        row.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
+                        size += len(part)
+                    rows.append(row)
+                    uid += 1
+                if size > _BATCH_BYTES:
+                    yield as_batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield as_batch(rows)
+
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("t"))
     layout = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
     return rows.mapInArrow(run, layout + (", ids array<int>" if with_ids else ""))
 
