@@ -87,10 +87,17 @@ def test_odd_rows(spark):
     found = simhash.near_duplicates(docs).collect()
     got = sorted((r.doc_id or -1, r.component_id or -1) for r in found)
     assert got == sorted([(5, 3), (3, 3), (9, 9), (9, 9), (-1, 9), (-1, -1), (4, 4)])
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [
+        (-1, "only me"), (3, ""), (4, "w"), (9, "a b c d")
+    ]
 
 
 def test_empty(spark):
-    assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+    empty = spark.createDataFrame([], SCHEMA)
+    assert simhash.near_duplicates(empty).count() == 0
+    assert simhash.drop_near_duplicates(empty).count() == 0
 
 
 def test_query_matches_brute_force(spark, sf_dir):
@@ -100,3 +107,5 @@ def test_query_matches_brute_force(spark, sf_dir):
     want = plain_components(pairs)
     assert {i: r.component_id for i, r in found.items()} == want
     assert all(found[i].fingerprint == f"{p:016x}" for i, p in pairs)
+    kept = simhash.drop_near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tiffin.llm.common import fold_ascii, staged, table
 
 #: Target shares of all tokens.
-TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
+TARGETS = {"good": 0.82, "poor": 0.12, "toxic": 0.06}
 LABELS = 8192
 WORDS = 256
 LEAST_DOCUMENTS = 5

@@ -35,7 +35,7 @@ import pandas as pd
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tiffin.llm.common import staged, table, utf8
@@ -307,6 +307,25 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(centres)
 
 
+def _classes(prints: DataFrame, radius: int, **limits: int) -> DataFrame:
+    """Per different fingerprint of `prints` (doc_id, fp): fp, first_id (its smallest doc_id),
+    component_id (its component's), and keeps (whether it is the one fingerprint of its component
+    that has that id)."""
+    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
+    member = components(links(nodes, radius, **limits))
+    linked = nodes.join(member, nodes["fp"] == member["node"], "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("component")
+    )
+    order = F.struct(F.col("first_id").isNull().alias("none"), "first_id", "fp")
+    smallest = linked.groupBy("component").agg(F.min(order).alias("first"))
+    return linked.join(smallest, "component").select(
+        "fp",
+        "first_id",
+        F.col("first.first_id").alias("component_id"),
+        (F.col("fp") == F.col("first.fp")).alias("keeps"),
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -317,14 +336,45 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row of `docs`: doc_id, fp (signed long), component_id."""
     prints = staged(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    member = components(links(nodes, radius, **limits))
-    linked = nodes.join(member, nodes["fp"] == member["node"], "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component")
+    classes = _classes(prints, radius, **limits).select("fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = SHINGLE_WORDS,
+    radius: int = RADIUS,
+    **limits: int,
+) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: one for each component, of its smallest
+    doc_id. Of rows that share fingerprint and doc_id the first by all columns' hash stays."""
+
+    @F.pandas_udf("long")
+    def print_of(texts: pd.Series) -> pd.Series:
+        found = np.array([fingerprint_of(t, width) for t in texts], dtype=np.uint64)
+        return pd.Series(found.view(np.int64))
+
+    prints = staged(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    kept = _classes(prints, radius, **limits).where("keeps")
+    # The id as a key that is never null: join and window then share one shuffle of the rows.
+    name = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    kept = kept.select(F.col("fp").alias("__near_fp"), name(F.col("first_id")).alias("__near_id"))
+    copies = Window.partitionBy("__near_fp", "__near_id").orderBy("__near_order")
+    rows = docs.withColumns(
+        {
+            "__near_fp": print_of(utf8(docs[text_col])),
+            "__near_id": name(docs[id_col].cast("long")),
+            "__near_order": F.xxhash64(*[docs[c] for c in docs.columns]),
+        }
+    )
+    return (
+        rows.join(kept, ["__near_fp", "__near_id"], "left_semi")
+        .withColumn("__near_copy", F.row_number().over(copies))
+        .where(F.col("__near_copy") == 1)
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
-    smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = linked.select("fp", "component").join(smallest, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
