@@ -1,7 +1,10 @@
+import json
+
 from pyspark.sql import functions as F
 
 from tests.conftest import rows, ts
 from tiffin import schemas
+from tiffin.plans import silver
 from tiffin.plans.bronze import bronze, decode_json, recent
 from tiffin.sources.messages import topic_options
 
@@ -15,11 +18,24 @@ def messages(spark, *values):
 
 
 def test_damaged_messages(spark):
-    df = decode_json(messages(spark, "not json", None, '{"order_id": 99999999999}'), schemas.ORDERS)
+    df = decode_json(messages(spark, "not json", None, '{"order_id": 99999999999999999999}'), schemas.ORDERS)
     assert df.columns == schemas.ORDERS.names
     assert all(v is None for r in df.collect() for v in r)
 
 
+def test_large_ids_survive_to_silver(spark):
+    complaint = {
+        "complaint_id": 2147483650,
+        "order_id": 99999999999,
+        "timestamp_received": "2024-01-02T00:00:00",
+        "complaint_type": "Cold food",
+        "description": "x",
+    }
+    rows_in = bronze(messages(spark, json.dumps(complaint)), "complaints", as_of())
+    kept = silver.complaints_clean(rows_in).first()
+    assert (kept.complaint_id, kept.order_id) == (2147483650, 99999999999)
+
+
 def test_cut_off(spark):
     df = bronze(
         messages(

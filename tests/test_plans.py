@@ -5,7 +5,7 @@ import re
 import pytest
 
 from tests.conftest import plan
-from tiffin.plans import gold, silver
+from tiffin.plans import gold, quality, silver
 from tiffin.testbed import registry
 from tiffin.testbed.registry import Tables
 
@@ -43,6 +43,17 @@ def test_deliveries_shuffle_each_input_once(stored):
         silver.deliveries_enriched(stored["orders"], stored["complaints"], stored["weather"])
     )
     assert shuffles(text) == 3 and text.count("SortMergeJoin") == 2
+    assert "SortAggregate" not in text
+    assert text.count("WindowGroupLimit") == 6  # before and after each shuffle
+
+
+def test_deliveries_join_only_what_is_asked_for(stored):
+    tables = stored["orders"], stored["complaints"], stored["weather"]
+    text = final(gold.peak_hours(silver.deliveries_enriched(
+        *tables, ["order_id", "order_time", "delivery_delay", "delay_category"])))
+    assert "Join" not in text and text.count("FileScan") == 1
+    text = final(silver.deliveries_enriched(*tables, ["order_id", "had_complaint"]))
+    assert text.count("FileScan") == 2
 
 
 def test_region_report(stored):
@@ -57,7 +68,8 @@ def test_business_summary(stored):
             stored["orders"], stored["complaints"], stored["events"], stored["weather"]
         )
     )
-    assert shuffles(text) == 3  # orders, all facts together, sums per day and store
+    # orders merged per group, these by id, all facts together, sums per day and store
+    assert shuffles(text) == 4
     assert "delivery_address" not in text and "temperature" not in text
 
 
@@ -89,10 +101,32 @@ def test_band_join_joins_on_keys(stored, spark, sf_dir, tmp_path):
     Tables(spark, sf_dir).bronze("weather").write.parquet(path)
     text = final(silver.weather_enriched(stored["orders"], spark.read.parquet(path)))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
-    assert re.search(r"SortMergeJoin \[key#\d+, bucket#\d+L\]", text)
-    assert re.search(r"SortMergeJoin \[key#\d+, second#\d+L\]", text)
-    # pairs, pairs by bucket, observations by bucket, distinct matches, these by pair, orders by pair
-    assert shuffles(text) == 6
+    assert re.search(r"SortMergeJoin(\(skew=\w+\))? \[key#\d+, bucket#\d+L, part#\d+\]", text)
+    assert re.search(r"SortMergeJoin(\(skew=\w+\))? \[key#\d+, second#\d+L\]", text)
+    # pairs and these by bucket, observations and these by bucket, distinct matches and these by
+    # pair, orders and these by pair
+    assert shuffles(text) == 8
+
+
+@pytest.mark.parametrize("check", ["ORDERS", "COMPLAINTS", "WEATHER"])
+def test_reports_read_a_table_once(stored, check):
+    table = {"ORDERS": "orders", "COMPLAINTS": "complaints", "WEATHER": "weather"}[check]
+    text = final(getattr(quality, check).report(stored[table]))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_building_a_query_starts_no_job(spark, sf_dir):
+    tracker = spark.sparkContext.statusTracker()
+    for name in registry.PLANS:
+        if name.startswith(("stream", "full_run")):
+            continue
+        spark.sparkContext.setJobGroup(f"build {name}", name)
+        registry.run(name, spark, sf_dir)
+        # Reading a file's schema is a job of its own, over the file's footer.
+        jobs = tracker.getJobIdsForGroup(f"build {name}")
+        stages = [s for j in jobs for s in tracker.getJobInfo(j).stageIds]
+        assert all(tracker.getStageInfo(s).numTasks == 1 for s in stages), name
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_order_filters_reach_the_scan(spark, sf_dir, tmp_path, capsys):

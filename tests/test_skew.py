@@ -1,4 +1,4 @@
-"""Hot keys: the split plans give exactly the rows of the plain ones."""
+"""Hot keys, instants and hours: the operators give exactly the rows of the plain forms."""
 
 import datetime as dt
 import random
@@ -8,30 +8,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tests.conftest import rows
-from tiffin.operators import band_join, intervals
-from tiffin.operators.band_join import left_band_join
+from tiffin.operators.band_join import PARTS, left_band_join
+from tiffin.operators.dedup import first_per_key
 from tiffin.operators.intervals import with_end_time
 from tiffin.operators.rules import RuleSet, not_null
-from tiffin.operators.skew import find_hot_keys, key_hash, lookup_join
 from tiffin.plans import gold
 
 VALUES = ["v", "w"]
 
 
-def test_find_hot_keys(spark):
-    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    hot = find_hot_keys(df, ["k"], rows_per_part=1000)
-    seven = spark.createDataFrame([(7,)], "k long").select(key_hash(["k"])).first()[0]
-    assert set(hot) == {seven} and hot[seven] >= 10
-    assert find_hot_keys(df, ["k"], rows_per_part=20_000) == {}
-    assert find_hot_keys(df.filter("false"), ["k"], rows_per_part=1) == {}
-
-
-def test_hot_keys_are_bounded(spark):
-    df = spark.range(20_000).select((F.col("id") % 500).alias("k"))
-    assert len(find_hot_keys(df, ["k"], rows_per_part=5, limit=20)) <= 20
-
-
 def band_tables(spark, seed):
     """A third of the rows at one key and instant, another third spread over that key's hour."""
     rng = random.Random(seed)
@@ -50,11 +35,11 @@ def band_tables(spark, seed):
     return left_df, right_df
 
 
-def band(left, right, width, rows_per_part=None):
+def band(left, right, width, parts=PARTS):
     """`id` is carried through; the pair of a row is looked up from it."""
     pair = [F.col("pair.key"), F.col("pair.second")]
     left = left.select("id", F.struct("key", "second").alias("pair"))
-    return left_band_join(left, *pair, right, width, VALUES, rows_per_part).drop("pair")
+    return left_band_join(left, *pair, right, width, VALUES, parts).drop("pair")
 
 
 def plain_band(left, right, width):
@@ -62,29 +47,18 @@ def plain_band(left, right, width):
     return left.join(right, near, "left").select("id", *VALUES).distinct()
 
 
-@pytest.mark.parametrize("rows_per_part, width", [(10**9, 3600), (20, 3600), (3, 100)])
-def test_band_join_equals_plain_join(spark, rows_per_part, width):
-    left, right = band_tables(spark, rows_per_part)
+@pytest.mark.parametrize("parts, width", [(1, 3600), (4, 3600), (7, 100)])
+def test_band_join_equals_plain_join(spark, parts, width):
+    left, right = band_tables(spark, parts)
     observed = right.filter(F.col("key").isNotNull())
-    got = band(left, observed, width, rows_per_part)
-    assert rows(got) == rows(plain_band(left, right, width))
+    assert rows(band(left, observed, width, parts)) == rows(plain_band(left, right, width))
 
 
-def test_band_join_splits_the_hot_rows(spark, monkeypatch):
-    left, right = band_tables(spark, 0)
-    split = band_join._split
-    seen = []
-
-    def spy(rows, *rest):
-        seen.append((rows.count(), rest[3], rest[4]))
-        return split(rows, *rest)
-
-    monkeypatch.setattr(band_join, "_split", spy)
-    band(left, right.filter(F.col("key").isNotNull()), 3600, 20).collect()
-    (rows_split, hot_buckets, hot_pairs), = seen
-    assert hot_buckets and hot_pairs
-    near = left.filter("key = 'hot' and second between 3600 and 14399").count()
-    assert near <= rows_split < left.count()
+def test_band_join_of_null_keys_and_empty_sides(spark):
+    left, right = band_tables(spark, 9)
+    assert rows(band(left, right, 3600)) == rows(plain_band(left, right, 3600))
+    assert rows(band(left, right.limit(0), 3600)) == rows(plain_band(left, right.limit(0), 3600))
+    assert band(left.limit(0), right, 3600).isEmpty()
 
 
 def test_band_edges(spark):
@@ -101,45 +75,53 @@ def test_band_edges(spark):
 
 
 def history_table(spark, seed):
+    """A third of the rows at one key and instant, a third at that key, and a third without one."""
     rng = random.Random(seed)
     base = dt.datetime(2024, 1, 1)
-    kinds = ["a", "b", "c"]
+    kinds = ["a", "b", "c", None]
     data = set()
-    for i in range(900):
-        if i % 3 == 0:  # a third of the rows: one key, one instant
+    for i in range(1200):
+        if i % 4 == 0:
             row = (1, base, rng.choice(kinds), i)
-        elif i % 3 == 1:  # the same key, many instants
+        elif i % 4 == 1:
             row = (1, base + dt.timedelta(seconds=rng.randrange(-200, 200)), rng.choice(kinds), i)
+        elif i % 4 == 2:
+            row = (None, base + dt.timedelta(hours=rng.randrange(300)), rng.choice(kinds), i)
         else:
-            row = (rng.randrange(50), base + dt.timedelta(seconds=rng.randrange(9)), rng.choice(kinds), i)
+            time = base + dt.timedelta(seconds=rng.randrange(9))
+            row = (rng.randrange(50), time if i % 8 == 3 else None, rng.choice(kinds), i)
         data.add(row)
-    return spark.createDataFrame(sorted(data), "k int, t timestamp, kind string, extra long")
+    return spark.createDataFrame(list(data), "k int, t timestamp, kind string, extra long")
 
 
-@pytest.mark.parametrize("rows_per_part, cuts", [(10**9, 2), (100, 2), (2, 7), (100, 256)])
-def test_end_time_equals_plain_window(spark, monkeypatch, cuts, rows_per_part):
-    monkeypatch.setattr(intervals, "CUTS", cuts)
-    df = history_table(spark, cuts).repartition(6)
+@pytest.mark.parametrize("span", [1, 3600, 86_400])
+def test_end_time_equals_plain_window(spark, span):
+    df = history_table(spark, span).repartition(6)
     window = Window.partitionBy("k").orderBy("t", "kind", "extra")
     want = df.withColumn("end_time", F.lead("t").over(window))
-    got = with_end_time(df, "k", "t", ["kind", "extra"], rows_per_part)
-    shown = ["k", "t", "kind", "end_time"]
-    assert rows(got, *shown) == rows(want, *shown)
-    # one open row per key, whatever the split
-    assert got.filter("end_time is null").groupBy("k").count().filter("count > 1").isEmpty()
+    got = with_end_time(df, "k", "t", ["kind", "extra"], span)
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+
+
+def test_end_time_keeps_every_row(spark):
+    df = history_table(spark, 3)
+    got = with_end_time(df, "k", "t", ["kind", "extra"])
+    assert rows(got, *df.columns) == rows(df, *df.columns)
+    assert with_end_time(df.limit(0), "k", "t", ["kind", "extra"]).isEmpty()
 
 
-@pytest.mark.parametrize("rows_per_part", [10**9, 5])
-def test_lookup_join(spark, rows_per_part):
-    left = spark.range(300).select(
-        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id") % 40).cast("int").alias("k"),
+def test_first_per_key_with_a_hot_key(spark):
+    df = spark.range(900).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 40).alias("k"),
+        F.when(F.col("id") % 7 > 0, -F.col("id")).alias("a"),
         "id",
     )
-    right = spark.range(0, 40, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    hot = find_hot_keys(left, ["k"], rows_per_part)
-    assert bool(hot) == (rows_per_part == 5)
-    want = left.join(right.withColumn("k", F.col("k").cast("int")), "k", "left")
-    assert rows(lookup_join(left, right, "k", hot)) == rows(want)
+    got = {r.k: (r.a, r.id) for r in first_per_key(df.repartition(5), "k").collect()}
+    want = {}
+    for r in df.collect():
+        row = (r.a is None, r.a or 0, r.id)
+        want[r.k] = min(want.get(r.k, row), row)
+    assert got == {k: (None if none else a, i) for k, (none, a, i) in want.items()}
 
 
 def test_issues_with_hot_duplicates(spark):
@@ -148,21 +130,42 @@ def test_issues_with_hot_duplicates(spark):
         F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 7 != 0, F.col("id")).alias("k"),
         F.when(F.col("id") % 10 != 0, 1).alias("a"),
     )
-    assert rows(rules.issues(df, rows_per_part=3)) == rows(rules.issues(df, rows_per_part=10**9))
+    copies = F.count("*").over(Window.partitionBy("k"))
+    again = df.withColumn("n", copies).filter("n > 1 and k is not null").drop("n")
+    want = df.filter("a is null").withColumn("issue", F.lit("null_a")).unionByName(
+        again.withColumn("issue", F.lit("duplicate_k"))
+    )
+    for parts in (1, 8):
+        assert rows(rules.issues(df, parts)) == rows(want)
+    report = {r.rule: r.violations for r in rules.report(df).collect()}
+    assert report == {"null_a": df.filter("a is null").count(), "duplicate_k": 2}
+
+
+def test_report_of_no_rows(spark):
+    rules = RuleSet({**not_null("a")}, unique_key="k")
+    df = spark.createDataFrame([], "k long, a long")
+    assert {r.rule: r.violations for r in rules.report(df).collect()} == {"null_a": 0, "duplicate_k": 0}
 
 
 def test_business_summary_with_a_hot_order(spark, sf_dir):
+    """Against the rows joined one by one."""
     from tiffin.testbed.registry import Tables
 
     t = Tables(spark, sf_dir)
     orders = t.orders().withColumn(
         "order_id", F.when(F.col("order_id") % 3 == 0, 33).otherwise(F.col("order_id"))
     )
-    args = (orders, t.complaints(), t.events(), t.weather())
-
-    def rounded(rows_per_part):
-        df = gold.daily_business_summary(*args, rows_per_part=rows_per_part)
-        doubles = [c for c, kind in df.dtypes if kind == "double"]
-        return rows(df.withColumns({c: F.round(c, 6) for c in doubles}))
-
-    assert rounded(5) == rounded(10**9)
+    complaints, events, weather = t.complaints(), t.events(), t.weather()
+    got = gold.daily_business_summary(orders, complaints, events, weather)
+    seen = weather.groupBy("order_id").agg(F.count("*").alias("n"))
+    odd = complaints.select("order_id").distinct().withColumn("odd", F.lit(1))
+    joined = orders.join(seen, "order_id", "left").join(odd, "order_id", "left")
+    times = F.greatest(F.coalesce("n", F.lit(1)), F.lit(1))
+    joined = joined.select("*", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    want = joined.groupBy(F.to_date("order_time").alias("date"), "store_id").agg(
+        F.count("*").alias("orders_count"),
+        F.count("odd").alias("complaints_count"),
+        F.round(F.avg("delivery_delay"), 6).alias("avg_delivery_delay"),
+    )
+    got = got.withColumn("avg_delivery_delay", F.round("avg_delivery_delay", 6))
+    assert rows(got.select(*want.columns)) == rows(want)

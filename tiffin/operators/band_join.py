@@ -6,10 +6,12 @@ A plain join on the key would put all rows of a city into one task and compare e
    else. Their number is bounded by the seconds covered, not by the left rows;
 2. time is cut into buckets of the band's width. A pair goes to the 3 buckets its band touches,
    an observation to the one it lies in, so each match is found exactly once by an equi-join;
-3. matches are made distinct per pair while they are few, then the left rows pick them up.
-   The multiplied output is never shuffled.
+3. observations are made distinct in the tasks and dealt to PARTS parts of their bucket by their
+   content, and the pairs are repeated for each part, so that no task sees all of a busy hour;
+4. matches are made distinct per pair while they are few, then the left rows pick them up in an
+   ordinary join, whose left side Spark can split. The multiplied output is never shuffled.
 
-Heavy buckets are split by a hash of the observation, heavy pairs by a hash of the left row.
+The plan is the same for every size of input.
 """
 
 from __future__ import annotations
@@ -19,21 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.operators.skew import (
-    HotKeys,
-    every_part,
-    find_hot_keys,
-    is_hot,
-    part_of,
-    with_parts,
-)
+#: Parts of a bucket. Each costs one more copy of the (bounded) pairs.
+PARTS = 4
 
 
 def band_matches(
-    pairs: DataFrame,
-    observations: DataFrame,
-    band: int,
-    hot_buckets: HotKeys | None = None,
+    pairs: DataFrame, observations: DataFrame, band: int, parts: int = PARTS
 ) -> DataFrame:
     """Inner matches of distinct (`key`, `second`) pairs with (`key`, `at`, ...) observations.
 
@@ -42,19 +35,16 @@ def band_matches(
     values = [c for c in observations.columns if c not in ("key", "at")]
     first, last = F.floor((F.col("second") - band) / band), F.floor((F.col("second") + band) / band)
     left = pairs.withColumn("bucket", F.explode(F.sequence(first, last)))
-    right = observations.withColumn("bucket", F.floor(F.col("at") / band))
-    on = ["key", "bucket"]
-    if hot_buckets:
-        left = with_parts(left, on, hot_buckets, "parts").withColumn("part", every_part("parts"))
-        right = with_parts(right.distinct(), on, hot_buckets, "parts")
-        right = right.withColumn("part", part_of(["at", *values], "parts"))
-        left, right, on = left.drop("parts"), right.drop("parts"), [*on, "part"]
-    else:
-        # Copies of an observation share its bucket: one shuffle for the distinct and the join.
-        right = right.repartition(*on).distinct()
+    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    content = F.xxhash64(F.col("at"), *[F.col(v) for v in values])
+    right = (
+        observations.distinct()
+        .withColumn("bucket", F.floor(F.col("at") / band))
+        .withColumn("part", F.pmod(content, F.lit(parts)).cast("int"))
+    )
     near = F.abs(F.col("second") - F.col("at")) <= band
-    # Equal readings near a pair are merged in the join's tasks, before the next shuffle.
-    return left.join(right, on).filter(near).select("key", "second", *values).distinct()
+    matches = left.join(right, ["key", "bucket", "part"]).filter(near)
+    return matches.select("key", "second", *values).distinct()
 
 
 def left_band_join(
@@ -64,83 +54,14 @@ def left_band_join(
     observations: DataFrame,
     band: int,
     values: Sequence[str],
-    rows_per_part: int | None = None,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Distinct `rows` with the observations (`key`, `at`, values) of their `key` and time.
 
     A row appears once per distinct combination of values, and rows that find none stay once.
     """
+    carried = rows.columns
     rows = rows.withColumn("key", key).withColumn("second", second)
-    buckets = observations.select("key", F.floor(F.col("at") / band).alias("bucket"))
-    hot_buckets = find_hot_keys(buckets, ["key", "bucket"], rows_per_part)
-    hot_pairs = find_hot_keys(rows, ["key", "second"], rows_per_part)
-    if not hot_buckets and not hot_pairs:
-        return _plain(rows, observations, band, values)
-
-    # A pair draws on the bucket before its own, its own, and the next.
-    own = F.floor(F.col("second") / band)
-    hot = F.lit(False)
-    if hot_pairs:
-        hot = hot | is_hot(["key", "second"], hot_pairs)
-    if hot_buckets:
-        for shift in (-1, 0, 1):
-            hot = hot | F.xxhash64(F.col("key"), own + shift).isin(list(hot_buckets))
-    warm = _plain(rows.filter(~hot), observations, band, values)
-    split = _split(rows.filter(hot), observations, band, values, hot_buckets, hot_pairs)
-    return warm.unionByName(split)
-
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    return rows.select("key", "second").dropna().distinct()
-
-
-def _plain(
-    rows: DataFrame, observations: DataFrame, band: int, values: Sequence[str]
-) -> DataFrame:
-    carried = [c for c in rows.columns if c not in ("key", "second")]
-    matches = band_matches(_pairs(rows), observations, band)
-    # Copies of a row share its pair, so one shuffle serves the distinct and the join.
-    left = rows.repartition("key", "second").distinct()
-    return left.join(matches, ["key", "second"], "left").select(*carried, *values)
-
-
-def _split(
-    rows: DataFrame,
-    observations: DataFrame,
-    band: int,
-    values: Sequence[str],
-    hot_buckets: HotKeys,
-    hot_pairs: HotKeys,
-) -> DataFrame:
-    """The same for rows of hot pairs or near hot buckets.
-
-    A pair's rows are cut into `row_parts` and its match list into `list_parts`; each part of the
-    one meets each part of the other once.
-    """
-    carried = [c for c in rows.columns if c not in ("key", "second")]
-
-    def with_both_parts(df: DataFrame) -> DataFrame:
-        df = with_parts(df, ["key", "second"], hot_pairs, "row_parts")
-        near = ["near_before", "near_own", "near_after"]
-        for shift, name in zip((-1, 0, 1), near):
-            df = df.withColumn("bucket", F.floor(F.col("second") / band) + shift)
-            df = with_parts(df, ["key", "bucket"], hot_buckets, name)
-        return df.withColumn("list_parts", F.greatest(*near)).drop("bucket", *near)
-
-    left = with_both_parts(rows.distinct())
-    left = left.withColumn("row_part", part_of(carried, "row_parts"))
-    left = left.withColumn("list_part", every_part("list_parts")).drop("row_parts", "list_parts")
-
-    matches = band_matches(_pairs(rows), observations, band, hot_buckets)
-    lists = with_both_parts(matches).withColumn("found", F.lit(True))
-    real = lists.withColumn("list_part", part_of(values, "list_parts"))
-    # A split list gets one empty entry per part, so that no part of it looks unmatched.
-    blank = lists.filter(F.col("list_parts") > 1)
-    blank = blank.select("key", "second", "row_parts", "list_parts").distinct()
-    blank = blank.withColumn("list_part", every_part("list_parts")).withColumn("found", F.lit(False))
-    lists = real.unionByName(blank, allowMissingColumns=True)
-    lists = lists.withColumn("row_part", every_part("row_parts")).drop("row_parts", "list_parts")
-
-    joined = left.join(lists, ["key", "second", "row_part", "list_part"], "left")
-    unmatched_once = F.col("found").isNull() & (F.col("list_part") == 0)
-    return joined.filter(F.col("found") | unmatched_once).select(*carried, *values)
+    pairs = rows.select("key", "second").dropna().distinct()
+    matches = band_matches(pairs, observations, band, parts)
+    return rows.distinct().join(matches, ["key", "second"], "left").select(*carried, *values)

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def nulls_last(*columns: str) -> Column:
-    """A struct that compares by the columns in turn, NULL after every value."""
-    fields = []
-    for c in columns:
-        fields += [F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c)]
-    return F.struct(*fields)
-
-
 def first_per_key(df: DataFrame, key: str) -> DataFrame:
-    """The smallest row of each key, in column order; copies are merged before the shuffle."""
-    rest = [c for c in df.columns if c != key]
-    best = df.groupBy(key).agg(F.min(nulls_last(*rest)).alias("best"))
-    return best.select(key, *[F.col(f"best.{c}").alias(c) for c in rest])
+    """The smallest row of each key, in column order, NULL after every value.
+
+    The limit on the row number is applied in the tasks before the shuffle already, so of a key
+    with many rows each task sends one.
+    """
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c != key]
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*rest))
+    return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")

@@ -7,12 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiffin.operators.skew import find_hot_keys, is_hot
-
-# A hot key is cut at this many quantiles of its times.
-CUTS = 256
-# Rows of one instant at a cut are spread over this many parts.
-TIE_PARTS = 64
+#: Instants of a key are put in order within spans of this many seconds, then the spans.
+SPAN_SECONDS = 86_400
 
 
 def with_end_time(
@@ -20,58 +16,41 @@ def with_end_time(
     key: str,
     time: str,
     ties: Sequence[str],
-    rows_per_part: int | None = None,
+    span_seconds: int = SPAN_SECONDS,
 ) -> DataFrame:
     """Add `end_time`: `time` of the key's next row by (`time`, *ties), NULL on the last one.
 
-    `ties[0]` orders rows of one instant; further columns only make the order total. They do not
-    change the result, as rows of one instant that are followed by another all end there.
-    """
-    hot = find_hot_keys(df, [key], rows_per_part)
-    ordered = Window.partitionBy(key).orderBy(time, *ties)
-    if not hot:
-        return df.withColumn("end_time", F.lead(time).over(ordered))
-    warm = df.filter(~is_hot([key], hot)).withColumn("end_time", F.lead(time).over(ordered))
-    return warm.unionByName(_split_end_time(df.filter(is_hot([key], hot)), key, time, ties))
-
+    Rows are expected to differ in (`key`, `time`, *ties); copies of a row end where it does. A
+    NULL key is a key, and a NULL time comes first.
 
-def _split_end_time(df: DataFrame, key: str, time: str, ties: Sequence[str]) -> DataFrame:
-    """The same for hot keys, each cut into time slices that are ordered on their own.
-
-    A slice's last row ends where the next non-empty slice starts.
+    A row ends at its own instant if another row of that instant follows, and at the key's next
+    instant otherwise. So the rows are merged to one per key and instant, in the tasks already, and
+    only these are put in order: within a span of time, and across a key's spans, of which there are
+    few. No task sees all rows of a key or of an instant.
     """
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    # One row per hot key (at most HOT_KEY_LIMIT) with CUTS numbers each. They are fixed here,
-    # not left in the plan, so that every use of them sees the same slices.
-    points = [i / CUTS for i in range(1, CUTS)]
-    cuts = df.groupBy(key).agg(F.percentile_approx(micros, points, 10_000).alias("cuts")).collect()
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, cuts array<long>"
-    table = df.sparkSession.createDataFrame([(r[0], r[1]) for r in cuts], schema)
-
-    # Slices run between two cuts; each instant that is a cut is a slice of its own, split
-    # further by the first tie column and a hash, as one instant may hold most of the rows.
-    below = F.size(F.filter("cuts", lambda c: c < micros))
-    upto = F.size(F.filter("cuts", lambda c: c <= micros))
-    at_cut = below != upto
-    sliced = (
-        df.join(F.broadcast(table), key)
-        .withColumn("slice", below + upto)
-        .withColumn("tie", F.when(at_cut, F.col(ties[0])))
-        .withColumn(
-            "tie_part",
-            F.when(at_cut, F.pmod(F.xxhash64(*[F.col(c) for c in ties]), F.lit(TIE_PARTS))),
-        )
-        .drop("cuts")
+    same_key, same_time = F.col(key).eqNullSafe(F.col("_key")), F.col(time).eqNullSafe(F.col("_time"))
+    span = F.floor(F.unix_micros(F.col("_time").cast("timestamp")) / (span_seconds * 1_000_000))
+    last = F.max(F.struct(*[F.col(c) for c in ties])).alias("_last")
+    instants = (
+        df.groupBy(F.col(key).alias("_key"), F.col(time).alias("_time"))
+        .agg(last)
+        .withColumn("_span", span)
+    )
+    spans = instants.groupBy("_key", "_span").agg(F.min("_time").alias("_first"))
+    across = Window.partitionBy("_key").orderBy("_span")
+    spans = spans.select(
+        F.col("_key").alias("_span_key"),
+        F.col("_span").alias("_span_of"),
+        F.lead("_first").over(across).alias("_later"),
     )
-    part = [key, "slice", "tie", "tie_part"]
-    inside = Window.partitionBy(*part).orderBy(time, *ties)
-    across = Window.partitionBy(key).orderBy("slice", "tie", "tie_part")
-    starts = sliced.groupBy(*part).agg(F.min(time).alias("start"))
-    starts = starts.select(
-        *[F.col(c).alias(f"{c}_of") for c in part],
-        F.lead("start").over(across).alias("next_start"),
+    within = Window.partitionBy("_key", "_span").orderBy("_time")
+    same_span = F.col("_key").eqNullSafe(F.col("_span_key"))
+    same_span &= F.col("_span").eqNullSafe(F.col("_span_of"))
+    instants = (
+        instants.withColumn("_next", F.lead("_time").over(within))
+        .join(spans, same_span)
+        .select("_key", "_time", "_last", F.coalesce("_next", "_later").alias("_next"))
     )
-    rows = sliced.withColumn("end_inside", F.lead(time).over(inside))
-    same = [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in part]
-    end = F.coalesce("end_inside", "next_start").alias("end_time")
-    return rows.join(starts, same, "left").select(*df.columns, end)
+    is_last = F.struct(*[F.col(c) for c in ties]).eqNullSafe(F.col("_last"))
+    end = F.when(is_last, F.col("_next")).otherwise(F.col(time)).alias("end_time")
+    return df.join(instants, same_key & same_time).select(*[df[c] for c in df.columns], end)

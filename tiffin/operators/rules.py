@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.operators.skew import find_hot_keys, lookup_join
+#: Parts that the rows of one duplicated key are dealt to; the keys are repeated for each.
+PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -26,35 +27,45 @@ class RuleSet:
         checks = [F.coalesce(F.expr(p), F.lit(False)) for p in self.rules.values()]
         return reduce(lambda a, b: a | b, checks)
 
-    def duplicated_keys(self, df: DataFrame) -> DataFrame:
-        counts = df.groupBy(self.unique_key).agg(F.count("*").alias("copies"))
-        return counts.filter("copies > 1")
-
     def report(self, df: DataFrame) -> DataFrame:
-        """`rule`, `violations`: rows per row rule, keys for the duplicate rule."""
-        counts = df.agg(*[F.count_if(F.expr(p)).alias(name) for name, p in self.rules.items()])
+        """`rule`, `violations`: rows per row rule, keys for the duplicate rule.
+
+        With a unique key the rows are counted per key, in the tasks already, and the counts are
+        summed; so the table is read once.
+        """
+        names = [f"_rule_{i}" for i in range(len(self.rules))]
+        counted = [F.count_if(F.expr(p)).alias(n) for n, p in zip(names, self.rules.values())]
+        if self.unique_key is None:
+            counts = df.agg(*counted)
+        else:
+            per_key = df.groupBy(self.unique_key).agg(F.count("*").alias("_copies"), *counted)
+            sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
+            counts = per_key.agg(*sums, F.count_if(F.col("_copies") > 1).alias("_duplicates"))
+        rules = dict(zip(self.rules, names))
+        if self.unique_key is not None:
+            rules[self.duplicate_rule] = "_duplicates"
         lines = [
-            F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations"))
-            for name in self.rules
+            F.struct(F.lit(rule).alias("rule"), F.col(name).alias("violations"))
+            for rule, name in rules.items()
         ]
-        report = counts.select(F.inline(F.array(*lines)))
-        if self.unique_key is None:
-            return report
-        keys = self.duplicated_keys(df).agg(F.count("*").alias("violations"))
-        return report.unionByName(keys.select(F.lit(self.duplicate_rule).alias("rule"), "violations"))
+        return counts.select(F.inline(F.array(*lines)))
 
     def valid(self, df: DataFrame) -> DataFrame:
         """Rows that break no row rule. Duplicates are reported, not removed."""
         return df.filter(~self._broken())
 
-    def issues(self, df: DataFrame, rows_per_part: int | None = None) -> DataFrame:
+    def issues(self, df: DataFrame, parts: int = PARTS) -> DataFrame:
         """Offending rows, once per broken rule, with the rule's name as `issue`."""
         names = [F.when(F.expr(p), F.lit(name)) for name, p in self.rules.items()]
         columns = df.columns
         if self.unique_key is not None:
-            hot = find_hot_keys(df, [self.unique_key], rows_per_part)
-            df = lookup_join(df, self.duplicated_keys(df), self.unique_key, hot)
-            names.append(F.when(F.col("copies").isNotNull(), F.lit(self.duplicate_rule)))
+            key = self.unique_key
+            counts = df.groupBy(key).agg(F.count("*").alias("_copies"))
+            part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+            repeated = counts.filter("_copies > 1").withColumn("_part", part)
+            content = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(parts))
+            df = df.withColumn("_part", content.cast("int")).join(repeated, [key, "_part"], "left")
+            names.append(F.when(F.col("_copies").isNotNull(), F.lit(self.duplicate_rule)))
         return df.select(*columns, F.explode(F.array_compact(F.array(*names))).alias("issue"))
 
 

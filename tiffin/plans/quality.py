@@ -11,6 +11,7 @@ from tiffin.sinks.tables import TableStore
 
 log = logging.getLogger(__name__)
 
+# Names of the rules, their columns and bounds.
 ORDERS = RuleSet(
     {
         **not_null("customer_id", "order_id"),
@@ -28,8 +29,15 @@ COMPLAINTS = RuleSet(
 )
 WEATHER = RuleSet(
     {
-        **not_null("order_id", "order_time", "region"),
-        **not_null("temperature", "precipitation", "wind_speed", "weather_condition"),
+        **not_null(
+            "order_id",
+            "order_time",
+            "region",
+            "temperature",
+            "precipitation",
+            "wind_speed",
+            "weather_condition",
+        ),
         "invalid_temperature": "temperature < -50 OR temperature > 60",
         "invalid_precipitation": "precipitation < 0",
         "invalid_wind_speed": "wind_speed < 0 OR wind_speed > 300",
@@ -116,6 +124,8 @@ def run_check(
     return report
 
 
-def run_checks(store: TableStore, mode: str = "append") -> dict[str, dict[str, int]]:
+def run_checks(
+    store: TableStore, mode: str = "append", preview: int = 0
+) -> dict[str, dict[str, int]]:
     """All checks in order; the first one that fails stops the run."""
-    return {name: run_check(store, check, mode) for name, check in CHECKS.items()}
+    return {name: run_check(store, check, mode, preview) for name, check in CHECKS.items()}

@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,11 @@ from tiffin.functions import (
     region_of_address,
 )
 from tiffin.operators.band_join import left_band_join
-from tiffin.operators.dedup import first_per_key, nulls_last
+from tiffin.operators.dedup import first_per_key
 from tiffin.operators.intervals import with_end_time
 from tiffin.plans.bronze import recent
 
+# Names of the measures, and the columns of a delivery.
 MEASURES = ["temperature", "precipitation", "wind_speed", "weather_condition"]
 
 DELIVERY_COLUMNS = [
@@ -45,6 +48,7 @@ DELIVERY_COLUMNS = [
 
 def orders_clean(bronze: DataFrame) -> DataFrame:
     """Valid orders with delay and status (J5). The raw filters reach the file scan."""
+    # Columns that an order must have.
     required = ["order_id", "customer_id", "store_id", "delivery_address"]
     times = ["estimated_delivery_time", "actual_delivery_time"]
     delay = minutes_between(*times)
@@ -96,7 +100,6 @@ def weather_enriched(
     orders: DataFrame,
     weather: DataFrame,
     band: int = settings.WEATHER_BAND_SECONDS,
-    rows_per_part: int | None = None,
 ) -> DataFrame:
     """Each order with every observation of its city within `band` seconds.
 
@@ -117,41 +120,41 @@ def weather_enriched(
         observed,
         band,
         MEASURES,
-        rows_per_part,
     )
 
 
-def deliveries_enriched(orders: DataFrame, complaints: DataFrame, weather: DataFrame) -> DataFrame:
-    """One row per order with its complaint type and weather.
+def deliveries_enriched(
+    orders: DataFrame,
+    complaints: DataFrame,
+    weather: DataFrame,
+    columns: Sequence[str] = DELIVERY_COLUMNS,
+) -> DataFrame:
+    """One row per order with its complaint type and weather (J9); only `columns` of it, and only
+    the joins that these need.
 
     An order may have many complaints and observations; one of each is kept: the first by type,
     and the first by measures, NULL last. Since both hang on the order id alone, each input is
     cut to one row per order before the join instead of after two fan-outs.
     """
     orders = first_per_key(orders.filter(F.col("order_id") > 0), "order_id")
-    complaint = complaints.groupBy("order_id").agg(F.min("complaint_type").alias("complaint_type"))
-    observed = weather.groupBy("order_id").agg(F.min(nulls_last(*MEASURES, "region")).alias("w"))
-    return (
-        orders.join(complaint, "order_id", "left")
-        .join(observed, "order_id", "left")
-        .select(
-            "*",
-            F.col("w.region").alias("region"),
-            *[F.col(f"w.{m}").alias(m) for m in MEASURES],
-            F.col("complaint_type").isNotNull().alias("had_complaint"),
-            delay_category(F.col("delivery_delay")).alias("delay_category"),
-        )
-        .select(*DELIVERY_COLUMNS)
-    )
-
-
-def order_status_history(events: DataFrame, rows_per_part: int | None = None) -> DataFrame:
+    found = orders.withColumn("delay_category", delay_category(F.col("delivery_delay")))
+    if {"complaint_type", "had_complaint"} & set(columns):
+        complaint = first_per_key(complaints.select("order_id", "complaint_type"), "order_id")
+        found = found.join(complaint, "order_id", "left")
+        found = found.withColumn("had_complaint", F.col("complaint_type").isNotNull())
+    if {*MEASURES, "region"} & set(columns):
+        observed = first_per_key(weather.select("order_id", *MEASURES, "region"), "order_id")
+        found = found.join(observed, "order_id", "left")
+    return found.select(*columns)
+
+
+def order_status_history(events: DataFrame) -> DataFrame:
     """Status intervals per order; the last one is current.
 
     Events of one instant are put in order by type.
     """
     rest = [c for c in ("timestamp", "customer_id", "store_id") if c in events.columns]
-    ended = with_end_time(events, "order_id", "event_time", ["event_type", *rest], rows_per_part)
+    ended = with_end_time(events, "order_id", "event_time", ["event_type", *rest])
     return ended.select(
         "order_id",
         F.col("event_type").alias("status"),

@@ -34,6 +34,7 @@ ALL_LATE = ("minor_delay", "major_delay", "extreme_delay")
 # Complaint types the quality check accepts.
 COMPLAINT_TYPES = ("Late delivery", "Missing item", "Wrong order", "Cold food")
 
+# Limits and horizons.
 MAX_DELAY_MINUTES = 300
 LATE_DATA_HORIZON = "48 hours"
 WEATHER_BAND_SECONDS = 3600
@@ -46,10 +47,3 @@ CALENDAR_END = "2029-12-31"
 HOLIDAYS = ("01-01", "12-25")
 WEEKEND = ("Saturday", "Sunday")
 SHORT_DAY = "Friday"
-
-# A key with more rows than this is split into parts of about this many rows.
-ROWS_PER_PART = 5_000_000
-# At most this many keys are treated as hot; any other key holds less than 1/HOT_KEY_LIMIT of the rows.
-HOT_KEY_LIMIT = 1024
-# Counters in the frequency sketch; its error is about 3.5 / SKETCH_COUNTERS of the rows.
-SKETCH_COUNTERS = 16_384

@@ -1,40 +1,27 @@
-"""Intermediate tables in the folder the cluster shares.
-
-A table that several branches of a query read is written once and read back, so that neither a
-second branch nor a lost executor computes it again.
-"""
+"""Folders for what a job writes on its way, under the one that the cluster shares."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}  # by application, for local sessions without the setting
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a local session without one gets a temporary folder."""
+    """The session's checkpoint folder, set by configuration or call, else one in the warehouse."""
     root = spark.conf.get(_SETTING, None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors can reach")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tiffin-")
-    return _local_roots[context.applicationId]
+    if not root:
+        chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = chosen.get() if chosen.isDefined() else spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A new, unused folder for `name`."""
-    return f"{staging_root(spark)}/tiffin/{uuid.uuid4().hex}/{name}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = staging_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """A new, unused folder for `name`, deleted when the session ends."""
+    folder = f"{staging_root(spark)}/tiffin/{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{folder}/{name}"

@@ -1,7 +1,7 @@
 """Delivery-shaped projections of the test tables, in the layout of the bronze tables.
 
-Ids keep the 64 bits of the test tables, so that no size of them overflows. Messages are decoded
-with the topics' 32-bit ids.
+Ids keep the 64 bits of the test tables, here and in the messages, so that no size of them
+overflows.
 """
 
 from __future__ import annotations
@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.sources.tables import widened
-
 # A clock inside the test data's time range (orders run from 1995 to 2001).
 AS_OF = "1996-01-03 00:00:00"
 
@@ -22,18 +20,12 @@ STEPS = (
     "order_archived",
 )
 
-ROW_KEYS = {
-    "orders": ["o_orderkey"],
-    "lineitem": ["l_orderkey", "l_linenumber"],
-}
-
-
 def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return widened(spark.read.parquet(f"{sf_dir}/{name}.parquet"), *ROW_KEYS[name])
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _later(base: str, minutes: Column) -> Column:
@@ -102,8 +94,7 @@ def complaints_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     part = F.col("l_partkey")
     text = F.when(part % 20 == 0, "  ").otherwise(F.concat(F.lit("part "), part.cast("string")))
-    rows = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
-    return rows.select(
+    return table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("complaint_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp_received"),

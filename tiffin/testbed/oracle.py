@@ -55,7 +55,7 @@ SELECT l_orderkey*10 + l_linenumber AS complaint_id, l_orderkey AS order_id,
   CASE l_linenumber % 5 WHEN 0 THEN 'Late delivery' WHEN 1 THEN 'Wrong order'
     WHEN 2 THEN 'Cold food' WHEN 3 THEN 'Missing item' ELSE 'Bad service' END AS complaint_type,
   CASE WHEN l_partkey % 20 = 0 THEN '  ' ELSE concat('part ', l_partkey::VARCHAR) END AS description
-FROM lineitem WHERE l_returnflag = 'R'""",
+FROM lineitem""",
     "fx_weather": """
 SELECT concat(' ', lower(r_name), ' ') AS location,
   l_shipdate + INTERVAL 1 MINUTE * ((l_orderkey*13 + l_linenumber*101) % 1440)::INT AS "timestamp",
@@ -65,8 +65,8 @@ SELECT concat(' ', lower(r_name), ' ') AS location,
     WHEN 3 THEN 'Rain' WHEN 4 THEN 'Storm' ELSE 'Fog' END AS weather_condition
 FROM lineitem JOIN region ON r_regionkey = l_suppkey % 5""",
     "b_orders": f"""
-SELECT * REPLACE (CASE WHEN order_id % 89 <> 0 THEN order_id::INT END AS order_id,
-  customer_id::INT AS customer_id)
+SELECT * REPLACE (CASE WHEN order_id % 89 <> 0 THEN order_id END AS order_id,
+  store_id::BIGINT AS store_id)
 FROM fx_orders WHERE order_id % 97 <> 0 AND event_time >= {_CUT}""",
     "s_orders": f"""
 SELECT DISTINCT order_id, customer_id, store_id, event_time, "timestamp" AS order_time,
@@ -251,24 +251,30 @@ _ORDER_RULES = {
     "invalid_status": "status NOT IN ('on_time', 'late')",
 }
 _TYPES = "('Late delivery', 'Missing item', 'Wrong order', 'Cold food')"
-_WEATHER_COLUMNS = (
-    "order_id",
-    "order_time",
-    "region",
-    "temperature",
-    "precipitation",
-    "wind_speed",
-    "weather_condition",
+_COMPLAINT_RULES = {
+    **_nulls("complaint_id", "order_id", "complaint_type"),
+    "invalid_complaint_type": f"complaint_type NOT IN {_TYPES}",
+}
+_WEATHER_RULES = {
+    **_nulls("order_id", "order_time", "region"),
+    **_nulls("temperature", "precipitation", "wind_speed", "weather_condition"),
+    "invalid_temperature": "temperature < -50 OR temperature > 60",
+    "invalid_precipitation": "precipitation < 0",
+    "invalid_wind_speed": "wind_speed < 0 OR wind_speed > 300",
+}
+_DELIVERY_RULES = _nulls(
+    "order_id", "customer_id", "store_id", "order_time", "delay_category", "ingestion_time"
 )
+_STATUS_RULES = _nulls("order_id", "status", "effective_time", "ingestion_time", "is_current")
+_CALENDAR_RULES = _nulls("date", "day_of_week", "is_weekend", "is_holiday", "is_short_friday")
 
 QUERIES = {
     "bronze_orders": "SELECT * FROM b_orders",
     "bronze_order_events": f"""
-SELECT * REPLACE (order_id::INT AS order_id, customer_id::INT AS customer_id)
+SELECT * REPLACE (store_id::BIGINT AS store_id)
 FROM fx_events WHERE event_time >= {_CUT}""",
     "bronze_complaints": f"""
-SELECT * REPLACE (complaint_id::INT AS complaint_id, order_id::INT AS order_id)
-FROM fx_complaints WHERE timestamp_received >= {_CUT}""",
+SELECT * FROM fx_complaints WHERE timestamp_received >= {_CUT}""",
     "bronze_weather": f'SELECT * FROM fx_weather WHERE "timestamp" >= {_CUT}',
     "stream_bronze_orders": "SELECT * FROM b_orders",
     "stream_drop_replays": "SELECT DISTINCT * FROM b_orders",
@@ -315,47 +321,21 @@ LEFT JOIN (SELECT store_id, region, count(*) AS complaints
             "(SELECT order_id FROM d_orders GROUP BY order_id HAVING count(*) > 1)"
         ]
     ),
-    "dq_complaints": _counts(
-        "s_complaints",
-        {
-            **_nulls("complaint_id", "order_id", "complaint_type"),
-            "invalid_complaint_type": f"complaint_type NOT IN {_TYPES}",
-        },
-        "complaint_id",
-    ),
+    "dq_complaints": _counts("s_complaints", _COMPLAINT_RULES, "complaint_id"),
     "dq_complaints_valid": f"SELECT * FROM s_complaints WHERE complaint_type IN {_TYPES}",
-    "dq_weather": _counts(
-        "d_weather",
-        {
-            **_nulls(*_WEATHER_COLUMNS),
-            "invalid_temperature": "temperature < -50 OR temperature > 60",
-            "invalid_precipitation": "precipitation < 0",
-            "invalid_wind_speed": "wind_speed < 0 OR wind_speed > 300",
-        },
-    ),
+    "dq_weather": _counts("d_weather", _WEATHER_RULES),
     "dq_weather_valid": """
 SELECT * FROM d_weather
 WHERE order_id IS NOT NULL AND order_time IS NOT NULL AND region IS NOT NULL
   AND temperature BETWEEN -50 AND 60 AND precipitation >= 0 AND wind_speed BETWEEN 0 AND 300
   AND weather_condition IS NOT NULL""",
-    "dq_deliveries": _counts(
-        "d_deliveries",
-        _nulls(
-            "order_id", "customer_id", "store_id", "order_time", "delay_category", "ingestion_time"
-        ),
-    ),
-    "dq_order_status": _counts(
-        "d_history",
-        _nulls("order_id", "status", "effective_time", "ingestion_time", "is_current"),
-    ),
+    "dq_deliveries": _counts("d_deliveries", _DELIVERY_RULES),
+    "dq_order_status": _counts("d_history", _STATUS_RULES),
     "dq_order_status_valid": """
 SELECT * FROM d_history
 WHERE order_id IS NOT NULL AND status IS NOT NULL AND effective_time IS NOT NULL
   AND ingestion_time IS NOT NULL AND is_current IS NOT NULL""",
-    "dq_dim_time": _counts(
-        "d_calendar",
-        _nulls("date", "day_of_week", "is_weekend", "is_holiday", "is_short_friday"),
-    ),
+    "dq_dim_time": _counts("d_calendar", _CALENDAR_RULES),
     "json_decode_events": """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events""",
     "late_cutoff_events": """
@@ -390,6 +370,11 @@ _SILVER = ("s_orders", "s_events", "s_complaints", "s_weather", "s_deliveries",
 for _name in _SILVER:
     PARTS[f"run_{_name}"] = _in_full_run(PARTS[_name])
 
+# The job's calendar has fixed bounds; the registered one has those of the data.
+_FIXED_CALENDAR = PARTS["s_calendar"].split("FROM (")[0] + (
+    "FROM (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2029-12-31', "
+    "INTERVAL 1 DAY))::DATE AS date)"
+)
 _RUN_TABLES = {
     "orders_bronze": "b_orders",
     "order_events_bronze": "b_events",
@@ -401,7 +386,7 @@ _RUN_TABLES = {
     "silver_weather_enriched": "run_s_weather",
     "silver_order_status_scd2": "run_s_history",
     "silver_deliveries_enriched": "run_s_deliveries",
-    "silver_dim_time": "range(DATE '2020-01-01', DATE '2030-01-01', INTERVAL 1 DAY)",
+    "silver_dim_time": f"({_FIXED_CALENDAR})",
     "gold_complaints_by_type": f"({_in_full_run(PARTS['g_complaints_by_type'])})",
     **{
         name: f"({_in_full_run(QUERIES[name])})"
@@ -415,9 +400,156 @@ _RUN_TABLES = {
         )
     },
 }
-QUERIES["full_run"] = "\nUNION ALL ".join(
-    f"SELECT '{table}' AS table_name, count(*) AS row_count FROM {source}"
-    for table, source in _RUN_TABLES.items()
+# Columns of the stored tables: n number, s string, t timestamp, d date, b boolean.
+_ORDER_IDS = {"order_id": "n", "customer_id": "n", "store_id": "n"}
+_MEASURES = {"temperature": "n", "precipitation": "n", "wind_speed": "n", "weather_condition": "s"}
+_PLANNED = {"estimated_delivery_time": "t", "actual_delivery_time": "t"}
+_COMPLAINT = {
+    "complaint_id": "n",
+    "order_id": "n",
+    "timestamp_received": "t",
+    "complaint_type": "s",
+    "description": "s",
+}
+_EVENT = {**_ORDER_IDS, "event_time": "t", "timestamp": "t", "event_type": "s"}
+_SHARES = {"late_deliveries_pct": "n", "complaints_pct": "n"}
+_RUN_COLUMNS = {
+    "orders_bronze": {
+        **_ORDER_IDS,
+        "event_time": "t",
+        "timestamp": "t",
+        "delivery_address": "s",
+        **_PLANNED,
+    },
+    "order_events_bronze": _EVENT,
+    "complaints_bronze": _COMPLAINT,
+    "weather_bronze": {"location": "s", "timestamp": "t", **_MEASURES},
+    "silver_orders_clean": {
+        **_ORDER_IDS,
+        "event_time": "t",
+        "order_time": "t",
+        "delivery_address": "s",
+        **_PLANNED,
+        "delivery_delay": "n",
+        "status": "s",
+    },
+    "silver_order_events_clean": _EVENT,
+    "silver_complaints_clean": _COMPLAINT,
+    "silver_weather_enriched": {"order_id": "n", "order_time": "t", "region": "s", **_MEASURES},
+    "silver_order_status_scd2": {
+        "order_id": "n",
+        "status": "s",
+        "effective_time": "t",
+        "end_time": "t",
+        "is_current": "b",
+    },
+    "silver_deliveries_enriched": {
+        **_ORDER_IDS,
+        "region": "s",
+        "delivery_address": "s",
+        "order_time": "t",
+        **_PLANNED,
+        "delivery_delay": "n",
+        "status": "s",
+        "complaint_type": "s",
+        "had_complaint": "b",
+        **_MEASURES,
+        "delay_category": "s",
+    },
+    "silver_dim_time": {
+        "date": "d",
+        "day_of_week": "s",
+        "is_weekend": "b",
+        "is_holiday": "b",
+        "is_short_friday": "b",
+    },
+    "gold_complaints_by_type": {"complaint_type": "s", "count": "n", "percent_of_orders": "n"},
+    "gold_delivery_metrics_by_region": {"region": "s", "avg_delivery_time": "n", **_SHARES},
+    "gold_delivery_summary_daily": {
+        "date": "d",
+        "total_orders": "n",
+        "late_orders": "n",
+        "weather_summary": "s",
+    },
+    "gold_daily_business_summary": {
+        "date": "d",
+        "store_id": "n",
+        "orders_count": "n",
+        "late_count": "n",
+        "on_time_count": "n",
+        "complaints_count": "n",
+        "avg_delivery_delay": "n",
+        "avg_prep_time": "n",
+        "avg_delivery_time": "n",
+        "severe_weather_count": "n",
+    },
+    "gold_peak_hours_analysis": {
+        "hour_of_day": "n",
+        "order_count": "n",
+        "avg_delivery_delay": "n",
+        "late_orders_pct": "n",
+    },
+    "gold_store_performance": {
+        "store_id": "n",
+        "region": "s",
+        "avg_delay": "n",
+        "orders_total": "n",
+        "complaints_rate": "n",
+    },
+    "gold_weather_impact_summary": {
+        "weather_condition": "s",
+        "avg_delivery_delay": "n",
+        **_SHARES,
+    },
+}
+_AS_NUMBER = {
+    "n": "{0}::DOUBLE",
+    "s": "length({0})::DOUBLE",
+    "t": "floor(epoch({0}))::DOUBLE",
+    "d": "({0}::DATE - DATE '1970-01-01')::DOUBLE",
+    "b": "{0}::INT::DOUBLE",
+}
+
+
+def _column_line(name: str, kind: str) -> str:
+    number = _AS_NUMBER[kind].format(f'"{name}"')
+    text = f'"{name}"' if kind == "s" else "NULL::VARCHAR"
+    return (
+        f"{{'column_name': '{name}', 'value_count': count(\"{name}\"), "
+        f"'min_value': round(min({number}), 3), 'max_value': round(max({number}), 3), "
+        f"'sum_value': round(sum({number}), 3), "
+        f"'min_text': min({text}), 'max_text': max({text})}}"
+    )
+
+
+def _content(table: str) -> str:
+    lines = ", ".join(_column_line(n, k) for n, k in _RUN_COLUMNS[table].items())
+    return (
+        f"SELECT '{table}' AS table_name, row_count, unnest(lines, max_depth := 2) "
+        f"FROM (SELECT count(*) AS row_count, [{lines}] AS lines FROM {_RUN_TABLES[table]})"
+    )
+
+
+QUERIES["full_run"] = "\nUNION ALL ".join(_content(table) for table in _RUN_TABLES)
+
+_RUN_RULES = {
+    "silver_orders_clean": (_ORDER_RULES, "order_id"),
+    "silver_complaints_clean": (_COMPLAINT_RULES, "complaint_id"),
+    "silver_weather_enriched": (_WEATHER_RULES, None),
+    "silver_deliveries_enriched": (_DELIVERY_RULES, None),
+    "silver_order_status_scd2": (_STATUS_RULES, None),
+    "silver_dim_time": (_CALENDAR_RULES, None),
+}
+
+
+def _with_stamp(table: str) -> str:
+    """A stored table has a stamp, which is never null."""
+    return f"(SELECT *, TIMESTAMP '{AS_OF}' AS ingestion_time FROM {_RUN_TABLES[table]})"
+
+
+QUERIES["full_run_quality"] = "\nUNION ALL ".join(
+    f"SELECT '{table}' AS table_name, * FROM ({_counts(_with_stamp(table), *rules)})"
+    for table, rules in _RUN_RULES.items()
 )
 
 

@@ -1,17 +1,19 @@
 """Every registered query by name: (spark, folder of the test tables) -> DataFrame.
 
 Doubles are rounded to 6 places and timestamps shown without a zone, for comparison with SQL.
-A silver table that a query reads in several places is staged once, as the stored table would be.
+Queries are composed, not run: building one starts no Spark job, and what a query does not need is
+pruned. Only the stream queries and those of the full run write files, as that is what they show.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, TimestampType
+from pyspark.sql.types import DateType, DoubleType, StringType, TimestampType
 
 from tiffin import schemas, settings
 from tiffin.functions import city_key, region_of_address
@@ -20,7 +22,7 @@ from tiffin.operators.intervals import with_end_time
 from tiffin.plans import calendar, gold, quality, silver
 from tiffin.plans.bronze import bronze, decode_json, recent
 from tiffin.plans.jobs import run_all
-from tiffin.sinks.staging import staged, staging_path
+from tiffin.sinks.staging import staging_path
 from tiffin.sinks.tables import TableStore
 from tiffin.sources.messages import message_files_stream
 from tiffin.streaming.ingest import bronze_stream, ingest_to_files
@@ -45,11 +47,10 @@ def _shown(df: DataFrame, rounded: bool) -> DataFrame:
 
 
 class Tables:
-    """The silver tables of one query, built on first use."""
+    """The silver tables of one query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._stored: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -60,38 +61,35 @@ class Tables:
     def messages(self, topic: str) -> DataFrame:
         return fixtures.messages(self.spark, self.sf_dir, topic)
 
-    def _store(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._stored:
-            self._stored[name] = staged(build(), name)
-        return self._stored[name]
-
     def orders(self) -> DataFrame:
-        return self._store("orders", lambda: silver.orders_clean(self.bronze("orders")))
+        return silver.orders_clean(self.bronze("orders"))
 
     def events(self) -> DataFrame:
         return silver.order_events_clean(self.bronze("order_events"), fixtures.as_of())
 
-    def new_complaints(self) -> DataFrame:
+    def complaints(self) -> DataFrame:
         return silver.complaints_clean(self.bronze("complaints"))
 
-    def complaints(self) -> DataFrame:
-        return self._store("complaints", self.new_complaints)
+    def weather(self) -> DataFrame:
+        return silver.weather_enriched(self.orders(), self.bronze("weather"))
 
-    def new_weather(self) -> DataFrame:
-        observed = self._store("weather_bronze", lambda: self.bronze("weather"))
-        return silver.weather_enriched(self.orders(), observed)
+    def deliveries(self, *columns: str) -> DataFrame:
+        """All columns of the deliveries, or those a report reads, as it would from a stored table."""
+        return silver.deliveries_enriched(
+            self.orders(), self.complaints(), self.weather(), columns or silver.DELIVERY_COLUMNS
+        )
 
-    def weather(self) -> DataFrame:
-        return self._store("weather", self.new_weather)
+    def timed_deliveries(self) -> DataFrame:
+        return self.deliveries("order_id", "order_time", "delivery_delay", "delay_category")
 
-    def deliveries(self) -> DataFrame:
-        return silver.deliveries_enriched(self.orders(), self.complaints(), self.weather())
+    def placed_deliveries(self) -> DataFrame:
+        return self.deliveries("order_id", "region", "delivery_delay", "delay_category")
 
     def history(self) -> DataFrame:
-        return silver.order_status_history(self._store("events", self.events))
+        return silver.order_status_history(self.events())
 
     def calendar(self) -> DataFrame:
-        return calendar.calendar_of(silver.orders_clean(self.bronze("orders")), "order_time")
+        return calendar.calendar_of(self.orders(), "order_time")
 
     def dirty_orders(self) -> DataFrame:
         return fixtures.dirty_orders(self.orders())
@@ -100,7 +98,8 @@ class Tables:
         return fixtures.dirty_weather(self.weather())
 
     def dirty_deliveries(self) -> DataFrame:
-        return fixtures.dirty_deliveries(self.deliveries())
+        columns = ("order_id", "customer_id", "store_id", "order_time", "delay_category")
+        return fixtures.dirty_deliveries(self.deliveries(*columns))
 
     def dirty_history(self) -> DataFrame:
         return fixtures.dirty_order_status(self.history())
@@ -127,35 +126,85 @@ def _band_join(t: Tables) -> DataFrame:
 
 
 def _stream(t: Tables, copies: int, replay_keys: list[str] | None) -> DataFrame:
-    """Write the order messages to files as a producer would, then ingest them as a stream."""
+    """Write the order messages to files as a producer would, then ingest them as a stream.
+
+    Each copy of the messages arrives after the run that ingested the one before.
+    """
     inbox, table, checkpoint = (
         staging_path(t.spark, name) for name in ("inbox", "orders_bronze", "checkpoint")
     )
     messages = t.messages("orders").select(F.col("value").cast("string").alias("value"))
-    again = F.explode(F.array_repeat(F.lit(0), copies))
-    messages.select("value", again.alias("copy")).drop("copy").write.text(inbox)
-    rows = bronze_stream(
-        message_files_stream(t.spark, inbox), "orders", fixtures.as_of(), replay_keys
-    )
-    ingest_to_files(rows, table, checkpoint).awaitTermination()
+    for _ in range(copies):
+        messages.write.mode("append").text(inbox)
+        rows = bronze_stream(
+            message_files_stream(t.spark, inbox), "orders", fixtures.as_of(), replay_keys
+        )
+        ingest_to_files(rows, table, checkpoint).awaitTermination()
     return t.spark.read.schema(schemas.ORDERS).parquet(table)
 
 
-def _full_run(t: Tables) -> DataFrame:
-    """Every job from messages to gold, on tables of their own; rows per table."""
+def _content(table: str, df: DataFrame) -> DataFrame:
+    """One row per column of a stored table: how many values, and what they range over and sum to."""
+    lines, columns = [], []
+    for i, field in enumerate(f for f in df.schema.fields if f.name != "ingestion_time"):
+        value, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, TimestampType):
+            number = F.floor(F.unix_micros(value) / 1_000_000)
+        elif isinstance(kind, DateType):
+            number = F.unix_date(value)
+        elif isinstance(kind, StringType):
+            number = F.char_length(value)
+        else:
+            number = value.cast("double")
+        text = value if isinstance(kind, StringType) else F.lit(None).cast("string")
+        columns += [
+            F.count(value).alias(f"n{i}"),
+            *[f(number.cast("double")).alias(f"{f.__name__}{i}") for f in (F.min, F.max, F.sum)],
+            F.min(text).alias(f"low{i}"),
+            F.max(text).alias(f"high{i}"),
+        ]
+        lines.append(
+            F.struct(
+                F.lit(field.name).alias("column_name"),
+                F.col(f"n{i}").alias("value_count"),
+                *[F.round(f"{f}{i}", 3).alias(f"{f}_value") for f in ("min", "max", "sum")],
+                F.col(f"low{i}").alias("min_text"),
+                F.col(f"high{i}").alias("max_text"),
+            )
+        )
+    counted = df.agg(F.count("*").alias("row_count"), *columns)
+    lines = F.inline(F.array(*lines))
+    return counted.select(F.lit(table).alias("table_name"), "row_count", lines)
+
+
+def _quality(store: TableStore) -> DataFrame:
+    reports = [
+        check.rules.report(store.read(check.table)).withColumn("table_name", F.lit(check.table))
+        for check in quality.CHECKS.values()
+    ]
+    return reduce(DataFrame.unionByName, reports).select("table_name", "rule", "violations")
+
+
+def _full_run(t: Tables, look: Callable[[TableStore, list[str]], DataFrame]) -> DataFrame:
+    """Every job from messages to gold, on tables of their own; what `look` finds in them (a few
+    rows per table), after which they are dropped."""
     database = f"tiffin_{uuid.uuid4().hex}"
     t.spark.sql(f"CREATE DATABASE {database} LOCATION '{staging_path(t.spark, 'database')}'")
-    store = TableStore(t.spark, database)
-    counts = None
-    for table in run_all(store, t.messages, fixtures.as_of()):
-        rows = store.read(table).agg(F.count("*").alias("row_count"))
-        rows = rows.select(F.lit(table).alias("table_name"), "row_count")
-        counts = rows if counts is None else counts.unionByName(rows)
-    return counts
+    try:
+        store = TableStore(t.spark, database)
+        tables = run_all(store, t.messages, fixtures.as_of())
+        found = look(store, tables)
+        return t.spark.createDataFrame(found.collect(), found.schema)
+    finally:
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def _contents(store: TableStore, tables: list[str]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [_content(name, store.read(name)) for name in tables])
 
 
 def _impact(t: Tables, **options) -> DataFrame:
-    return gold.weather_impact(t.deliveries(), t.weather(), t.complaints(), **options)
+    return gold.weather_impact(t.timed_deliveries(), t.weather(), t.complaints(), **options)
 
 
 def _business(t: Tables, **options) -> DataFrame:
@@ -173,38 +222,40 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "stream_drop_replays": lambda t: _stream(t, 2, schemas.ORDERS.names),
     "silver_orders_clean": lambda t: silver.orders_clean(t.bronze("orders")),
     "silver_order_events_clean": lambda t: t.events(),
-    "silver_complaints_clean": lambda t: t.new_complaints(),
-    "silver_weather_enriched": lambda t: t.new_weather(),
+    "silver_complaints_clean": lambda t: t.complaints(),
+    "silver_weather_enriched": lambda t: t.weather(),
     "band_join_bucketed": _band_join,
     "silver_deliveries_enriched": lambda t: t.deliveries(),
     "silver_dim_time": lambda t: t.calendar(),
     "silver_order_status_scd2": lambda t: t.history(),
-    "gold_complaints_by_type": lambda t: gold.complaints_by_type(t.new_complaints()),
+    "gold_complaints_by_type": lambda t: gold.complaints_by_type(t.complaints()),
     "gold_delivery_metrics_by_region": lambda t: gold.delivery_metrics_by_region(
-        t.deliveries(), t.complaints()
+        t.placed_deliveries(), t.complaints()
     ),
     "gold_delivery_metrics_by_region_late_fixed": lambda t: gold.delivery_metrics_by_region(
-        t.deliveries(), t.complaints(), late=settings.ALL_LATE
+        t.placed_deliveries(), t.complaints(), late=settings.ALL_LATE
     ),
     "gold_delivery_summary_daily": lambda t: gold.delivery_summary_daily(
-        t.deliveries(), t.weather()
+        t.timed_deliveries(), t.weather()
     ),
     "gold_delivery_summary_daily_late_fixed": lambda t: gold.delivery_summary_daily(
-        t.deliveries(), t.weather(), late=settings.ALL_LATE
+        t.timed_deliveries(), t.weather(), late=settings.ALL_LATE
     ),
     "gold_daily_business_summary": _business,
     "gold_daily_business_summary_per_order": lambda t: _business(t, one_row_per_order=True),
-    "gold_peak_hours_analysis": lambda t: gold.peak_hours(t.deliveries()),
+    "gold_peak_hours_analysis": lambda t: gold.peak_hours(t.timed_deliveries()),
     "gold_peak_hours_analysis_late_fixed": lambda t: gold.peak_hours(
-        t.deliveries(), late=settings.ALL_LATE
+        t.timed_deliveries(), late=settings.ALL_LATE
+    ),
+    "gold_store_performance": lambda t: gold.store_performance(
+        t.deliveries("order_id", "store_id", "delivery_address", "delivery_delay"), t.complaints()
     ),
-    "gold_store_performance": lambda t: gold.store_performance(t.deliveries(), t.complaints()),
     "gold_weather_impact_summary": _impact,
     "gold_weather_impact_summary_late_fixed": lambda t: _impact(t, late=settings.ALL_LATE),
     "dq_orders": lambda t: quality.ORDERS.report(t.dirty_orders()),
     "dq_orders_issues": lambda t: quality.ORDERS.issues(t.dirty_orders()),
     "dq_complaints": lambda t: quality.COMPLAINTS.report(t.complaints()),
-    "dq_complaints_valid": lambda t: quality.COMPLAINTS.valid(t.new_complaints()),
+    "dq_complaints_valid": lambda t: quality.COMPLAINTS.valid(t.complaints()),
     "dq_weather": lambda t: quality.WEATHER.report(t.dirty_weather()),
     "dq_weather_valid": lambda t: quality.WEATHER.valid(t.dirty_weather()),
     "dq_deliveries": lambda t: quality.DELIVERIES.report(t.dirty_deliveries()),
@@ -234,7 +285,8 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "pivot_events": lambda t: t.raw("events")
     .groupBy("user_id")
     .agg(*gold.latest_per_kind("event_type", "ts", EVENT_KINDS)),
-    "full_run": _full_run,
+    "full_run": lambda t: _full_run(t, _contents),
+    "full_run_quality": lambda t: _full_run(t, lambda store, tables: _quality(store)),
 }
 
 
