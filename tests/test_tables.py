@@ -4,14 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tiffin import schemas
+from tiffin import schemas, settings
 from tiffin.plans import jobs
 from tiffin.plans.calendar import calendar, calendar_of
 from tiffin.plans.quality import QualityError, run_checks
 from tiffin.session import CatalogBinding, shuffle_partitions
-from tiffin.sinks.staging import staged, staging_root
+from tiffin.sinks.staging import staging_path, staging_root
 from tiffin.sinks.tables import TableStore, stamped
-from tiffin.sources.tables import TableLoadError, widened
+from tiffin.sources.tables import TableLoadError
 from tiffin.testbed import fixtures
 
 
@@ -66,7 +66,30 @@ def test_day_partitions_where_the_format_has_them(spark):
     iceberg = TableStore(spark, "lake", "iceberg").definition("w", schemas.WEATHER, "timestamp")
     assert iceberg.startswith("CREATE TABLE IF NOT EXISTS lake.w (`location` string, `timestamp` ")
     assert iceberg.endswith("USING iceberg PARTITIONED BY (days(`timestamp`))")
-    assert "PARTITIONED" not in TableStore(spark).definition("w", schemas.WEATHER, "timestamp")
+    files = TableStore(spark).definition("w", schemas.WEATHER, "timestamp")
+    assert files.endswith("`stored_day` date) USING parquet PARTITIONED BY (`stored_day`)")
+    assert "PARTITIONED" not in TableStore(spark).definition("w", schemas.WEATHER)
+
+
+def test_layout_survives_a_replacement_and_prunes(spark, database, capsys):
+    store = TableStore(spark, database)
+    df = spark.sql(
+        "select id, case when id > 0 then timestamp'2024-01-01' + make_interval(0, 0, 0, id) end t"
+        " from range(9)"
+    )
+    for mode in ("overwrite", "append", "overwrite"):
+        store.write(df, "days", mode, by_day="t")
+        assert store.read("days").columns == ["id", "t"]
+    assert store.read("days").count() == 9
+    parts = spark.sql(f"SHOW PARTITIONS {database}.days").count()
+    assert parts == 9
+    cut = F.lit("2024-01-07 10:00:00").cast("timestamp")
+    recent_rows = store.read("days", cut)
+    # Whole days, and rows without a time; the job's own filter does the rest.
+    assert sorted(r.id for r in recent_rows.collect()) == [0, 6, 7, 8]
+    recent_rows.filter(F.col("t") >= cut).explain("formatted")
+    text = capsys.readouterr().out
+    assert "PartitionFilters" in text and "stored_day" in text.split("PartitionFilters")[1][:60]
 
 
 def test_stamp_replaces_an_inherited_one(spark):
@@ -87,21 +110,13 @@ def test_catalog_binding():
 
 def test_shuffle_partitions():
     assert shuffle_partitions(0) == 8
-    assert shuffle_partitions(100 * 10**12) == 745059
+    assert shuffle_partitions(10**12) == 3726
+    assert shuffle_partitions(100 * 10**12) == 100_000
 
 
 def test_staging_uses_the_sessions_folder(spark):
     assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir")
-    df = staged(spark.range(5), "five")
-    assert df.count() == 5 and staging_root(spark) in df.inputFiles()[0]
-
-
-def test_widened(spark, sf_dir):
-    one_file = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    spread = widened(one_file.select("o_orderkey"), "o_orderkey")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 9)
-    assert widened(many, "id") is many
+    assert staging_path(spark, "x") != staging_path(spark, "x")
 
 
 @pytest.fixture(scope="module")
@@ -167,6 +182,41 @@ def test_quality_of_the_full_run(full_run):
     jobs.run_table_job(store, "silver_orders_clean", mode="overwrite")
 
 
+def test_whole_run_again_adds_nothing(spark, sf_dir, database, tmp_path):
+    for topic in ("orders", "order_events", "complaints", "weather"):
+        text = fixtures.messages(spark, sf_dir, topic).select(F.col("value").cast("string"))
+        text.write.text(str(tmp_path / "in" / settings.TOPICS[topic]))
+    store = TableStore(spark, database)
+    common = ["all", "--namespace", database, "--files", str(tmp_path / "in")]
+    common += ["--as-of", fixtures.AS_OF, "--checkpoint", str(tmp_path / "check")]
+    seen = []
+    for _ in range(2):
+        jobs.main(common)
+        tables = [jobs.CALENDAR, *jobs.BRONZE, *jobs.TABLE_JOBS]
+        seen.append({table: store.read(table).count() for table in tables})
+    assert seen[0] == seen[1] and all(seen[0].values())
+    # Laid out by day, although they are replaced.
+    assert spark.sql(f"SHOW PARTITIONS {database}.silver_weather_enriched").count() > 1
+    jobs.main(["quality_all", "--namespace", database, "--mode", "overwrite"])
+
+
+def test_preview_shows_rows(spark, database, capsys):
+    store = TableStore(spark, database)
+    row = "select date'2024-01-01' date, 'Monday' day_of_week, false is_weekend"
+    store.replace(spark.sql(f"{row}, true is_holiday, false is_short_friday"), jobs.CALENDAR)
+    jobs.main(["quality_dim_time", "--namespace", database, "--preview", "3"])
+    assert "Monday" in capsys.readouterr().out
+
+
+def test_options_that_do_not_belong_together(database):
+    for wrong in (
+        ["orders_bronze", "--replay-key", "order_id"],
+        ["silver_orders_clean", "--checkpoint", "x"],
+    ):
+        with pytest.raises(SystemExit):
+            jobs.main([*wrong, "--namespace", database])
+
+
 def put_messages(folder, topic, *messages):
     folder = folder / topic
     folder.mkdir(parents=True, exist_ok=True)

@@ -37,7 +37,8 @@ class Job:
     build: Callable[..., DataFrame]
     mode: str = "append"
     clocked: bool = False
-    schema: StructType | None = None  # fixed layout, created before the first append
+    schema: StructType | None = None  # fixed columns, created before the first append
+    by_day: str | None = None  # the time that the table is laid out by, however it is written
 
 
 BRONZE = {
@@ -52,17 +53,29 @@ COMPLAINTS, WEATHER = "silver_complaints_clean", "silver_weather_enriched"
 DELIVERIES = "silver_deliveries_enriched"
 
 SILVER = {
-    ORDERS: Job(["orders_bronze"], silver.orders_clean, schema=schemas.SILVER_ORDERS),
+    ORDERS: Job(
+        ["orders_bronze"],
+        silver.orders_clean,
+        schema=schemas.SILVER_ORDERS,
+        by_day="event_time",
+    ),
     EVENTS: Job(
         ["order_events_bronze"],
         silver.order_events_clean,
         clocked=True,
         schema=schemas.SILVER_ORDER_EVENTS,
+        by_day="event_time",
+    ),
+    COMPLAINTS: Job(
+        ["complaints_bronze"], silver.complaints_clean, by_day="timestamp_received"
+    ),
+    WEATHER: Job([ORDERS, "weather_bronze"], silver.weather_enriched, by_day="order_time"),
+    "silver_order_status_scd2": Job(
+        [EVENTS], silver.order_status_history, "overwrite", by_day="effective_time"
+    ),
+    DELIVERIES: Job(
+        [ORDERS, COMPLAINTS, WEATHER], silver.deliveries_enriched, by_day="order_time"
     ),
-    COMPLAINTS: Job(["complaints_bronze"], silver.complaints_clean),
-    WEATHER: Job([ORDERS, "weather_bronze"], silver.weather_enriched),
-    "silver_order_status_scd2": Job([EVENTS], silver.order_status_history, "overwrite"),
-    DELIVERIES: Job([ORDERS, COMPLAINTS, WEATHER], silver.deliveries_enriched),
 }
 
 GOLD = {
@@ -85,6 +98,7 @@ GOLD = {
 
 TABLE_JOBS = {**SILVER, **GOLD}
 CALENDAR = "silver_dim_time"
+QUALITY_ALL = "quality_all"
 
 
 def run_bronze(
@@ -94,7 +108,7 @@ def run_bronze(
     schema, time = schemas.MESSAGES[topic]
     store.ensure(table, schema, by_day=time)
     store.claim(table, "batch")
-    store.append(bronze(messages(topic), topic, as_of), table)
+    store.append(bronze(messages(topic), topic, as_of), table, time)
 
 
 def ingest_bronze(
@@ -111,7 +125,13 @@ def ingest_bronze(
     store.ensure(table, schema, by_day=time)
     store.claim(table, "stream")
     rows = bronze_stream(messages(topic), topic, as_of, replay_keys)
-    query = ingest_to_table(rows, store.name(table), checkpoint, store.table_format)
+    query = ingest_to_table(
+        store.laid_out(rows, time),
+        store.name(table),
+        checkpoint,
+        store.table_format,
+        store.partitions(time),
+    )
     query.awaitTermination()
 
 
@@ -119,20 +139,29 @@ def run_calendar(store: TableStore, mode: str = "overwrite") -> None:
     store.write(stamped(calendar.calendar(store.spark)), CALENDAR, mode)
 
 
+def _since(as_of: Column | None) -> Column:
+    """The instant before which a job with a late-data cut-off needs no rows."""
+    clock = F.current_timestamp() if as_of is None else as_of
+    return clock - F.expr(f"INTERVAL {settings.LATE_DATA_HORIZON}")
+
+
 def run_table_job(
     store: TableStore, table: str, as_of: Column | None = None, mode: str | None = None
 ) -> None:
     """Compute one silver or gold table from stored tables and write it, stamped."""
     job = TABLE_JOBS[table]
     # An inherited stamp is no data: it must not keep copies apart.
-    inputs = [store.read(name).drop("ingestion_time") for name in job.inputs]
+    inputs = [
+        store.read(name, _since(as_of) if job.clocked else None).drop("ingestion_time")
+        for name in job.inputs
+    ]
     df = stamped(job.build(*inputs, as_of) if job.clocked else job.build(*inputs))
     mode = mode or job.mode
     if job.schema is not None and mode == "append":
-        store.ensure(table, job.schema, by_day="event_time")
-        store.append(df.select(*job.schema.names), table)
+        store.ensure(table, job.schema, job.by_day)
+        store.append(df.select(*job.schema.names), table, job.by_day)
     else:
-        store.write(df, table, mode)
+        store.write(df, table, mode, job.by_day)
 
 
 def run_all(
@@ -140,37 +169,50 @@ def run_all(
     messages: MessageSource,
     as_of: Column | None = None,
     mode: str | None = None,
+    checkpoint: str | None = None,
 ) -> list[str]:
     """Every job once, inputs before what reads them; returns the tables written.
 
-    `mode` overrides the write mode of the silver and gold tables.
+    `mode` overrides the write mode of the silver and gold tables. With `checkpoint`, a folder,
+    bronze tables take only what arrived since the last run, and the others are replaced unless
+    `mode` says otherwise; so running it again adds nothing.
     """
     run_calendar(store)
     for table in BRONZE:
-        run_bronze(store, table, messages, as_of)
+        if checkpoint is None:
+            run_bronze(store, table, messages, as_of)
+        else:
+            ingest_bronze(store, table, messages, f"{checkpoint}/{table}", as_of)
+    if checkpoint is not None:
+        mode = mode or "overwrite"
     for table in TABLE_JOBS:
         run_table_job(store, table, as_of, mode)
     return [CALENDAR, *BRONZE, *TABLE_JOBS]
 
 
 def main(argv: Sequence[str] | None = None) -> None:
-    from tiffin.plans.quality import CHECKS, run_check
+    from tiffin.plans.quality import CHECKS, run_check, run_checks
 
     checks = {f"quality_{name}": check for name, check in CHECKS.items()}
     parser = argparse.ArgumentParser(prog="tiffin")
-    parser.add_argument("job", choices=["all", CALENDAR, *BRONZE, *TABLE_JOBS, *checks])
+    parser.add_argument("job", choices=["all", CALENDAR, *BRONZE, *TABLE_JOBS, *checks, QUALITY_ALL])
     parser.add_argument("--namespace", help="catalog or catalog.schema of the tables")
     parser.add_argument("--format", default="parquet", help="table format, e.g. iceberg")
     parser.add_argument("--catalog", help="name of a catalog to bind")
     parser.add_argument("--warehouse", help="warehouse location of that catalog")
     parser.add_argument("--kafka", help="bootstrap servers")
     parser.add_argument("--files", help="folder with one folder of JSON lines per topic")
-    parser.add_argument("--checkpoint", help="ingest a bronze table incrementally from here")
+    parser.add_argument("--checkpoint", help="folder of incremental ingests; bronze jobs and all")
     parser.add_argument("--replay-key", action="append", help="column of the key of a message")
     parser.add_argument("--as-of", help="timestamp to use instead of the clock")
     parser.add_argument("--mode", choices=["append", "overwrite"])
     parser.add_argument("--input-bytes", type=int, help="size of the input, for the shuffle width")
+    parser.add_argument("--preview", type=int, default=0, help="rows a quality job shows first")
     args = parser.parse_args(argv)
+    if args.replay_key and not (args.checkpoint and args.job in BRONZE):
+        parser.error("--replay-key belongs to a bronze job with --checkpoint")
+    if args.checkpoint and args.job not in ("all", *BRONZE):
+        parser.error("--checkpoint belongs to a bronze job or to all")
 
     binding = CatalogBinding(args.catalog, args.warehouse) if args.catalog else None
     spark = build_session(f"tiffin {args.job}", binding, args.input_bytes)
@@ -188,9 +230,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         raise SystemExit("a bronze job needs --kafka or --files")
 
     if args.job == "all":
-        if args.checkpoint:
-            parser.error("--checkpoint belongs to one bronze job")
-        run_all(store, messages, as_of, args.mode)
+        run_all(store, messages, as_of, args.mode, args.checkpoint)
     elif args.job == CALENDAR:
         run_calendar(store, args.mode or "overwrite")
     elif args.job in BRONZE and args.checkpoint:
@@ -198,6 +238,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job in BRONZE:
         run_bronze(store, args.job, messages, as_of)
     elif args.job in checks:
-        run_check(store, checks[args.job], args.mode or "append")
+        run_check(store, checks[args.job], args.mode or "append", args.preview)
+    elif args.job == QUALITY_ALL:
+        run_checks(store, args.mode or "append", args.preview)
     else:
         run_table_job(store, args.job, as_of, args.mode)

@@ -43,9 +43,14 @@ class CatalogBinding:
         }
 
 
-def shuffle_partitions(input_bytes: int, bytes_per_task: int = 128 << 20) -> int:
-    """Initial shuffle width for a job that reads `input_bytes`; AQE merges what is too small."""
-    return max(8, -(-input_bytes // bytes_per_task))
+#: More shuffle partitions than this cost the driver more than they spare the tasks.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes: int, bytes_per_task: int = 256 << 20) -> int:
+    """Initial shuffle width for a job that reads `input_bytes`; AQE merges what is too small, and
+    splits what is too large beyond the widest."""
+    return min(MAX_SHUFFLE_PARTITIONS, max(8, -(-input_bytes // bytes_per_task)))
 
 
 def build_session(
