@@ -54,18 +54,18 @@ def captures(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     # A line break in a url would end its header.
     url = F.regexp_replace(F.coalesce(pages["url"].cast("string"), F.lit("")), r"[\x00-\x20\x7f]", "%20")
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), url.alias("url"), html.alias("html"))
-    rows = rows.withColumns({"bytes": F.octet_length("html").cast("long"), "sha": F.sha2("html", 256)})
+    # The id as a key that is never null: join and window then share one shuffle of the payloads.
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
+    size = F.octet_length("html").cast("long")
+    rows = rows.withColumns({"key": key, "bytes": size, "sha": F.sha2("html", 256)})
     # Small rows only: which page of each payload is the response.
-    keys = rows.select("page_id", "bytes", "sha").groupBy("page_id", "bytes", "sha").agg(F.lit(1).alias("one"))
-    top = keys.groupBy("bytes", "sha").agg(F.max("page_id").alias("top"))
-    chosen = keys.join(top, ["bytes", "sha"]).select(
-        F.col("page_id").alias("key_id"), F.col("sha").alias("key_sha"), "top"
-    )
-    same = rows["page_id"].eqNullSafe(chosen["key_id"]) & (rows["sha"] == chosen["key_sha"])
-    copy = F.row_number().over(Window.partitionBy("key_id", "sha").orderBy("url"))
+    keys = rows.groupBy("key", "sha", "bytes").agg(F.max("page_id").alias("id"))
+    top = keys.groupBy("sha", "bytes").agg(F.max("id").alias("top"))
+    chosen = keys.join(top, ["sha", "bytes"]).select("key", "sha", "top")
+    copy = F.row_number().over(Window.partitionBy("key", "sha").orderBy("url"))
     first = F.col("page_id").eqNullSafe(F.col("top")) & (F.col("copy") == 1)
     return (
-        rows.join(chosen, same)
+        rows.join(chosen, ["key", "sha"])
         .withColumn("copy", copy)
         .withColumn("revisit", ~first & (F.col("bytes") >= min_bytes))
         .select(
