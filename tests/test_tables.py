@@ -67,14 +67,14 @@ def test_day_partitions_where_the_format_has_them(spark):
     assert iceberg.startswith("CREATE TABLE IF NOT EXISTS lake.w (`location` string, `timestamp` ")
     assert iceberg.endswith("USING iceberg PARTITIONED BY (days(`timestamp`))")
     files = TableStore(spark).definition("w", schemas.WEATHER, "timestamp")
-    assert files.endswith("`stored_day` date) USING parquet PARTITIONED BY (`stored_day`)")
+    assert files.endswith("`stored_month` date) USING parquet PARTITIONED BY (`stored_month`)")
     assert "PARTITIONED" not in TableStore(spark).definition("w", schemas.WEATHER)
 
 
 def test_layout_survives_a_replacement_and_prunes(spark, database, capsys):
     store = TableStore(spark, database)
     df = spark.sql(
-        "select id, case when id > 0 then timestamp'2024-01-01' + make_interval(0, 0, 0, id) end t"
+        "select id, case when id > 0 then timestamp'2024-01-01' + make_interval(0, id) end t"
         " from range(9)"
     )
     for mode in ("overwrite", "append", "overwrite"):
@@ -83,13 +83,13 @@ def test_layout_survives_a_replacement_and_prunes(spark, database, capsys):
     assert store.read("days").count() == 9
     parts = spark.sql(f"SHOW PARTITIONS {database}.days").count()
     assert parts == 9
-    cut = F.lit("2024-01-07 10:00:00").cast("timestamp")
+    cut = F.lit("2024-07-07 10:00:00").cast("timestamp")
     recent_rows = store.read("days", cut)
-    # Whole days, and rows without a time; the job's own filter does the rest.
+    # Whole months, and rows without a time; the job's own filter does the rest.
     assert sorted(r.id for r in recent_rows.collect()) == [0, 6, 7, 8]
     recent_rows.filter(F.col("t") >= cut).explain("formatted")
     text = capsys.readouterr().out
-    assert "PartitionFilters" in text and "stored_day" in text.split("PartitionFilters")[1][:60]
+    assert "PartitionFilters" in text and "stored_month" in text.split("PartitionFilters")[1][:60]
 
 
 def test_stamp_replaces_an_inherited_one(spark):
