@@ -63,7 +63,12 @@ def plain_rates(n, p, wanted, steps=mixing.STEPS):
 
 def test_rates_match_plain_form_and_meet_the_targets(spark, data):
     docs, labels = frames(spark, data)
-    found = mixing.mixed(docs, labels, {"good": 0.8, "poor": 0.15, "toxic": 0.05}).collect()
+    targets = {"good": 0.8, "poor": 0.15, "toxic": 0.05}
+    found = mixing.mixed(docs, labels, targets).collect()
+    alone = {r.doc_id: r for r in mixing.rates(docs, labels, targets).collect()}
+    for r in found:
+        other = alone[r.doc_id]
+        assert (r.n_tokens, r.copies) == (other.n_tokens, other.copies) and abs(r.rate - other.rate) < 1e-9
     n = np.array([r.n_tokens for r in found], dtype=float)
     p = np.array([[r.posterior[d] for d in ("good", "poor", "toxic")] for r in found])
     rates = np.array([r.rate for r in found])
@@ -102,6 +107,7 @@ def test_nothing_to_learn_from_and_empty(spark, data):
     found = mixing.mixed(docs, labels.limit(0)).collect()
     assert all(abs(x - 1 / 3) < 1e-9 for r in found for x in r.posterior.values())
     assert mixing.mixed(docs.limit(0), labels).count() == 0
+    assert mixing.rates(docs.limit(0), labels).count() == 0
 
 
 def test_no_python_in_the_plan(spark, sf_dir):

@@ -190,26 +190,39 @@ class Mixture:
     reached: np.ndarray
 
 
+def _chance(id_col: Column, text: Column) -> Column:
+    """A number in [0, 1) that depends on the document only."""
+    return F.pmod(F.xxhash64(id_col, text), F.lit(1 << 20)) / (1 << 20)
+
+
+def scored(
+    docs: DataFrame, model: DomainModel, text_col: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
+    """Per row of `docs`: doc_id, n (tokens), p (posterior), chance; written once, for the sums of
+    all steps."""
+    rows = docs.select(
+        docs[id_col].alias("doc_id"),
+        docs[text_col].alias("__mix_text"),
+        _chance(docs[id_col], docs[text_col]).alias("chance"),
+    )
+    rows = _with_features(rows, "__mix_text")
+    posterior = model.posterior(F.col("__mix_words")).alias("p")
+    return staged(rows.select("doc_id", F.col("__mix_tokens").alias("n"), posterior, "chance"), "posteriors")
+
+
 def fit(
-    docs: DataFrame,
-    model: DomainModel,
-    targets: dict[str, float],
-    text_col: str = "text",
-    total_tokens: float | None = None,
+    rows: DataFrame, model: DomainModel, targets: dict[str, float], total_tokens: float | None = None
 ) -> Mixture:
     """Steps that bring the expected tokens of each domain to its share of `total_tokens` (all of
-    the input's if not given)."""
+    the input's if not given); `rows` are those of `scored`."""
     d = len(model.domains)
-    scored = _with_features(docs.select(docs[text_col].alias("__mix_text")), "__mix_text").select(
-        F.col("__mix_tokens").alias("n"), model.posterior(F.col("__mix_words")).alias("p")
-    )
-    scored = staged(scored.where("n > 0"), "posteriors")
+    rows = rows.where("n > 0")
     p = [F.col("p")[k] for k in range(d)]
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
 
     def sums(steps: list[np.ndarray]) -> tuple[float, np.ndarray, np.ndarray]:
         """All tokens, the tokens of each domain after `steps`, and G."""
-        rated = scored.select("n", "p", _rate(F.col("p"), steps).alias("r"))
+        rated = rows.select("n", "p", _rate(F.col("p"), steps).alias("r"))
         row = rated.agg(
             F.sum("n"),
             *[F.sum(F.col("n") * F.col("r") * x) for x in p],
@@ -242,6 +255,16 @@ def fit(
     return Mixture(model, steps, wanted, reached)
 
 
+def _copies(rate: Column, chance: Column) -> Column:
+    """The rate rounded up or down, so that it holds in the mean."""
+    whole = F.floor(rate)
+    return (whole + (chance < rate - whole).cast("long")).cast("long")
+
+
+def _posterior_map(model: DomainModel, p: Column) -> Column:
+    return F.map_from_arrays(F.array(*[F.lit(x) for x in model.domains]), p)
+
+
 def with_rates(docs: DataFrame, mixture: Mixture, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """`docs` with n_tokens, posterior (domain -> probability), rate, and copies: the rate rounded
     down or up by a hash of id and text, so that it holds in the mean."""
@@ -249,26 +272,42 @@ def with_rates(docs: DataFrame, mixture: Mixture, text_col: str = "text", id_col
     found = _with_features(docs, text_col)
     found = found.withColumn("__mix_p", model.posterior(F.col("__mix_words")))
     found = found.withColumn("__mix_rate", _rate(F.col("__mix_p"), mixture.steps))
-    chance = F.pmod(F.xxhash64(docs[id_col], docs[text_col]), F.lit(1 << 20)) / (1 << 20)
-    whole = F.floor("__mix_rate")
     new = {
         "n_tokens": F.col("__mix_tokens"),
-        "posterior": F.map_from_arrays(F.array(*[F.lit(x) for x in model.domains]), F.col("__mix_p")),
+        "posterior": _posterior_map(model, F.col("__mix_p")),
         "rate": F.col("__mix_rate"),
-        "copies": (whole + (chance < F.col("__mix_rate") - whole).cast("long")).cast("long"),
+        "copies": _copies(F.col("__mix_rate"), _chance(docs[id_col], docs[text_col])),
     }
     old = [F.col(f"`{c}`") for c in docs.columns if c not in new]
     return found.select(*old, *[c.alias(name) for name, c in new.items()])
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """`docs` with their rates, from the label table (doc_id, quality, toxic)."""
-    labelled = labels.groupBy("doc_id").agg(
+def _labelled(labels: DataFrame) -> DataFrame:
+    labels = labels.groupBy("doc_id").agg(
         F.max("quality").alias("quality"), F.max("toxic").alias("toxic")
     )
-    labelled = labelled.select("doc_id", domain_of(labelled).alias("domain"))
-    model = train(docs, labelled, sorted(targets))
-    return with_rates(docs, fit(docs, model, targets))
+    return labels.select("doc_id", domain_of(labels).alias("domain"))
+
+
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+    """Per row of `docs`: doc_id, n_tokens, posterior, rate, copies; texts are read once."""
+    model = train(docs, _labelled(labels), sorted(targets))
+    rows = scored(docs, model)
+    mixture = fit(rows, model, targets)
+    found = rows.withColumn("rate", _rate(F.col("p"), mixture.steps))
+    return found.select(
+        "doc_id",
+        F.col("n").alias("n_tokens"),
+        _posterior_map(model, F.col("p")).alias("posterior"),
+        "rate",
+        _copies(F.col("rate"), F.col("chance")).alias("copies"),
+    )
+
+
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+    """`docs`, whole rows, with their rates, from the label table (doc_id, quality, toxic)."""
+    model = train(docs, _labelled(labels), sorted(targets))
+    return with_rates(docs, fit(scored(docs, model), model, targets))
 
 
 def drawn(found: DataFrame, columns: list[str]) -> DataFrame:
@@ -280,8 +319,7 @@ def drawn(found: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = mixed(docs, table(spark, sf_dir, "labels"))
+    found = rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select(
         "doc_id", "n_tokens", *[F.col("posterior")[d].alias(f"p_{d}") for d in sorted(TARGETS)], "rate", "copies"
     )
