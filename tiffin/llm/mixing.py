@@ -312,9 +312,10 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
 
 def drawn(found: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of `with_rates`, each as often as its copies say, with `columns` only."""
-    repeated = found.where("copies > 0").withColumn(
-        "__mix_copy", F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
-    )
+    # An outer explode and a filter on what it makes: a filter on the copies would be pushed down
+    # to the scan and compute every rate, and the posteriors in it, many times over.
+    copies = F.array_repeat(F.lit(True), F.col("copies").cast("int"))
+    repeated = found.withColumn("__mix_copy", F.explode_outer(copies)).where("__mix_copy")
     return repeated.select(*[F.col(f"`{c}`") for c in columns])
 
 
