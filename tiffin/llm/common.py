@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,20 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def byte_slices(
+    batch: pa.RecordBatch, column: int, most_bytes: int, most_rows: int
+) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with so many bytes in a text column at most, but for a single longer text."""
+    lengths = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    start, before = 0, 0
+    while start < batch.num_rows:
+        stop = int(np.searchsorted(ends, before + most_bytes, side="right"))
+        stop = min(max(stop, start + 1), start + most_rows)
+        yield batch.slice(start, stop - start)
+        start, before = stop, int(ends[stop - 1])
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder under the session's shared one, deleted when the session ends."""
     root = spark.conf.get(_CHECKPOINT_DIR, None)

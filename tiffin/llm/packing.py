@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import staged, table
+from tiffin.llm.common import byte_slices, staged, table
 
 CAPACITY = 4096
 END_ID = 1
@@ -49,8 +49,9 @@ GENERATIONS = 8
 #: Bins of each shard that the next level packs again.
 REOPENED_BINS = 2
 #: Words whose ids a Python worker remembers; it forgets all when there are more.
-CACHED_WORDS = 1_000_000
-_BATCH_BYTES = 16 << 20
+CACHED_WORDS = 500_000
+#: Text whose words are numbered at a time, and ids that are returned at a time.
+_TEXT_BYTES, _BATCH_BYTES = 8 << 20, 16 << 20
 
 
 def tokenizer_file() -> str:
@@ -182,24 +183,25 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(tokenizer)
         uid = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            rows, size = [], 0
-            doc_ids = batch.column(0).to_pylist()
-            for doc_id, ids in zip(doc_ids, encode(batch.column(1)), strict=True):
-                ids += end
-                for piece, start in enumerate(range(0, len(ids), width)):
-                    part = ids[start : start + width]
-                    row = [uid, doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)]
-                    if with_ids:
-                        row.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
-                        size += len(part)
-                    rows.append(row)
-                    uid += 1
-                if size > _BATCH_BYTES:
+        for whole in batches:
+            for batch in byte_slices(whole, 1, _TEXT_BYTES, whole.num_rows):
+                rows, size = [], 0
+                doc_ids = batch.column(0).to_pylist()
+                for doc_id, ids in zip(doc_ids, encode(batch.column(1)), strict=True):
+                    ids += end
+                    for piece, start in enumerate(range(0, len(ids), width)):
+                        part = ids[start : start + width]
+                        row = [uid, doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)]
+                        if with_ids:
+                            row.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
+                            size += len(part)
+                        rows.append(row)
+                        uid += 1
+                    if size > _BATCH_BYTES:
+                        yield as_batch(rows)
+                        rows, size = [], 0
+                if rows:
                     yield as_batch(rows)
-                    rows, size = [], 0
-            if rows:
-                yield as_batch(rows)
 
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("t"))
