@@ -120,6 +120,29 @@ def test_items_of_known_optimum(spark):
         assert len({r.sequence_id for r in found}) <= most
 
 
+@pytest.mark.parametrize("long", [0, 200])
+def test_many_tiny_items_over_several_shards(spark, long):
+    """Tiny items of several shards fit in few bins, which were all reopened, level after level."""
+    random = np.random.default_rng(5)
+    lengths = [1] * 3000 + random.integers(1, 64, long).tolist()
+    items = spark.createDataFrame(list(enumerate(lengths)), "uid long, length long")
+    found = packing.best_fit(items, 64, 100).collect()
+    assert sorted(r.uid for r in found) == list(range(len(lengths)))
+    fills = {}
+    for r in found:
+        fills.setdefault(r.sequence_id, []).append((r.offset, lengths[r.uid]))
+    for parts in fills.values():
+        assert [at for at, _ in sorted(parts)] == np.cumsum([0, *(n for _, n in sorted(parts))])[:-1].tolist()
+        assert sum(n for _, n in parts) <= 64
+    assert len(fills) <= -(-sum(lengths) // 64) + 1
+
+
+def test_empty_texts_over_several_shards(spark):
+    docs = spark.range(5000).selectExpr("id AS doc_id", "IF(id % 2 = 0, '', NULL) AS text")
+    found = packing.pack(docs, with_ids=False).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert sorted(r.n for r in found) == [904, 4096]
+
+
 def test_children_hold_every_item_once():
     random = np.random.default_rng(1)
     lengths = random.integers(1, 90, 200).tolist()

@@ -4,14 +4,17 @@ A document is its token ids and one end id. Documents of more than `capacity` to
 full pieces and a rest; full pieces are sequences of their own, and all other pieces are packed.
 
 * Pieces are dealt to shards of about SHARD_ITEMS by a hash of their row, so every shard is small
-  whatever the documents are. A shard's problem is one row: lengths, and a population of packings.
+  whatever the documents are. Shards of tiny pieces take more of them, up to the tokens of SHARD_BINS
+  sequences. A shard's problem is one row: lengths, and a population of packings.
 * Each shard lives on several islands. An island breeds its population: a child takes whole
   well-filled bins from one parent, loses the bins of the other that now hold a document twice, and
   places the displaced documents into the remaining bins by best fit, largest first. The packing
   with fewer bins, then with more unequal fills, is the better one.
 * Between epochs each island's elite migrates to the next island of its shard.
 * The least filled bins of every shard are opened and packed again together, level by level, until
-  one shard is left, so the sharding itself costs no more than about one sequence in all.
+  one shard is left, so the sharding itself costs no more than about one sequence in all. Each level
+  has less than half the tokens of the one before: s > 1 shards have over (s - 1) * SHARD_BINS
+  sequences' tokens, and at most s * REOPENED_BINS of them are reopened.
 
 An island stops early where a packing has as few bins as the token count allows.
 
@@ -48,6 +51,8 @@ POPULATION = 6
 GENERATIONS = 8
 #: Bins of each shard that the next level packs again.
 REOPENED_BINS = 2
+#: Sequences that a shard's tokens fill at least, on average, so that a level reopens at most half of them.
+SHARD_BINS = 4 * REOPENED_BINS
 #: Words whose ids a Python worker remembers; it forgets all when there are more.
 CACHED_WORDS = 500_000
 #: Text whose words are numbered at a time, and ids that are returned at a time.
@@ -401,8 +406,11 @@ def best_fit(
     full = items.where(F.col("length") == capacity)
     done = full.select("uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest, level = items.where(F.col("length") < capacity).select("uid", "length"), 0
-    while count := rest.count():
-        shards = -(-count // shard_items)
+    while True:
+        count, tokens = rest.agg(F.count(F.lit(1)), F.sum("length")).first()
+        if not count:
+            break
+        shards = min(-(-count // shard_items), -(-tokens // (SHARD_BINS * capacity)))
         packed = staged(_pack_shards(rest, shards, level, capacity), "packed")
         number = F.lit(level << 58) + F.shiftleft(F.col("shard"), 20) + F.col("bin")
         final = packed if shards == 1 else packed.where(~F.col("reopened"))
