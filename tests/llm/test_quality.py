@@ -66,6 +66,27 @@ def test_bands(spark):
     assert not any(found[i].base_failed for i in (4, 5, 6))
 
 
+def noise_words(n, size, seed=5):
+    rng = random.Random(seed)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    return " ".join("".join(rng.choices(letters, k=size)) for _ in range(n))
+
+
+def test_texts_that_only_the_bands_reject(spark):
+    coded = base64.b64encode(random.Random(3).randbytes(15000)).decode()
+    phrase = prose(12, 9)
+    texts = [
+        "\n".join(coded[i : i + 76] for i in range(0, len(coded), 76)),
+        *(noise_words(n, 8) for n in (55, 100, 200, 400, 3000)),
+        *(noise_words(n, 20) for n in (55, 100, 400, 3000)),
+        # 14 other words for each repetition of a phrase of 12
+        *(" ".join(f"{prose(14, k)} {phrase}" for k in range(n)) for n in (20, 60, 200)),
+    ]
+    found = verdicts(spark, texts)
+    assert not any(r.base_failed for r in found.values())
+    assert not any(r.kept for r in found.values())
+
+
 def test_odd_rows(spark):
     rows = [(None, prose(80)), (1, None), (1, None), (2, ""), (2, prose(80))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(

@@ -33,9 +33,20 @@ WHITE = b" \t\n\x0b\x0c\r"
 LEVEL = 3
 CHUNK_BYTES = 4096
 MAX_BAD_CHUNKS = 0.25
-CHUNK_BAND = (1.25, 5.0)
-#: Texts of up to so many bytes, and the least and largest ratio of them.
-BANDS = [(256, 0.5, 2.8), (1024, 1.05, 3.2), (4096, 1.2, 4.0), (16384, 1.25, 5.0), (None, 1.25, 6.0)]
+CHUNK_BAND = (1.75, 3.0)
+#: Texts of up to so many bytes, and the least and largest ratio of them. The least lies between what
+#: base64 and random letters and digits reach at that length and the least of clean prose, the largest
+#: between clean prose and prose of which half is one phrase again and again.
+BANDS = [
+    (256, 1.15, 2.0),
+    (512, 1.25, 2.2),
+    (1024, 1.35, 2.5),
+    (2048, 1.5, 2.8),
+    (4096, 1.7, 2.9),
+    (8192, 1.85, 3.1),
+    (16384, 1.85, 3.2),
+    (None, 1.85, 3.4),
+]
 
 
 def band(size: int) -> tuple[float, float]:
