@@ -87,6 +87,15 @@ def test_texts_that_only_the_bands_reject(spark):
     assert not any(r.kept for r in found.values())
 
 
+def test_rest_after_the_last_whole_chunk_is_judged():
+    good = prose(2000).encode()
+    coded = base64.b64encode(random.Random(3).randbytes(4000))
+    assert quality.compression(good[:4096] + coded[:4095])[1] == 4095 / 8191
+    assert quality.compression(good[:8191])[1] == 0
+    assert quality.compression(coded[:4095])[1] == 0  # judged as a whole
+    assert quality.compression(coded[:4096])[1] == 1
+
+
 def test_odd_rows(spark):
     rows = [(None, prose(80)), (1, None), (1, None), (2, ""), (2, prose(80))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(

@@ -4,8 +4,8 @@ Text that repeats itself compresses too well, and random or encoded text hardly
 a text's UTF-8 bytes to its zstandard frame is compared with a band for texts of that length (short
 texts carry the frame's overhead and cannot repeat much). The same is done for fixed chunks of the
 text, so that a long text is also judged by its parts: it fails when more than `MAX_BAD_CHUNKS` of
-its bytes lie in chunks outside the chunk band. A rest of less than a chunk is judged as part of the
-whole only.
+its bytes lie in chunks outside the chunk band. The rest of a text longer than a chunk is judged by the
+chunk that ends where the text does. A text of less than a chunk is judged as a whole.
 
 Words are runs of characters other than \\x20 and \\x09-\\x0D. A text also fails with fewer than
 MIN_WORDS words, or when over MAX_REPEAT_PERCENT of its words lie in windows of three words that
@@ -59,11 +59,12 @@ def compression(raw: bytes) -> tuple[float, float]:
         return 1.0, 0.0
     compressor = zstandard.ZstdCompressor(level=LEVEL)
     bad = 0
-    for start in range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES):
-        chunk = raw[start : start + CHUNK_BYTES]
-        ratio = CHUNK_BYTES / len(compressor.compress(chunk))
-        bad += not CHUNK_BAND[0] <= ratio <= CHUNK_BAND[1]
-    return len(raw) / len(compressor.compress(raw)), bad * CHUNK_BYTES / len(raw)
+    for start in range(0, len(raw) if len(raw) >= CHUNK_BYTES else 0, CHUNK_BYTES):
+        end = min(start + CHUNK_BYTES, len(raw))
+        ratio = CHUNK_BYTES / len(compressor.compress(raw[end - CHUNK_BYTES : end]))
+        if not CHUNK_BAND[0] <= ratio <= CHUNK_BAND[1]:
+            bad += end - start
+    return len(raw) / len(compressor.compress(raw)), bad / len(raw)
 
 
 def repeated_words(words: list[bytes], width: int = 3) -> int:
