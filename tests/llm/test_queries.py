@@ -25,4 +25,4 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tiffin.llm import chat, exact_dedup, language, lm_score, mixing, packing, quality, secrets, simhash, warc
+from tiffin.llm import chat, codes, exact_dedup, language, lm_score, mixing, packing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_simhash": simhash.op9_simhash,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_vector_codes": codes.op11_vector_codes,
 }
 
 ORACLE_SQL = {
     "op2_chat_format": chat.OP2_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op6_warc": warc.OP6_SQL,
+    "op11_vector_codes": codes.OP11_SQL,
 }
