@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tiffin.llm import chat, codes, exact_dedup, language, lm_score, mixing, packing, periodic, quality, secrets, simhash, warc
+from tiffin.llm import (
+    chat,
+    codes,
+    exact_dedup,
+    language,
+    lm_score,
+    mixing,
+    packing,
+    periodic,
+    personal,
+    quality,
+    secrets,
+    simhash,
+    warc,
+)
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -16,6 +30,7 @@ QUERIES = {
     "op9_simhash": simhash.op9_simhash,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
     "op11_vector_codes": codes.op11_vector_codes,
+    "op12_personal_data": personal.op12_personal_data,
     "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 
