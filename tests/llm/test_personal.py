@@ -70,7 +70,7 @@ def test_estimated_reliabilities():
     found = personal.reliabilities(patterns)
     assert abs(found.share - 0.3) < 0.03
     assert all(abs(a - b) < 0.04 for a, b in zip(found.right, right))
-    assert personal.reliabilities({}).right == pytest.approx((0.8,) * 6)
+    assert personal.reliabilities({}).right == pytest.approx(personal.EXPECTED)
 
 
 def prose(rng, n=40):

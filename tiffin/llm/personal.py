@@ -12,7 +12,8 @@
 4. **Classifier.** A naive Bayes classifier over hashed features of span and context, which the labelers do not use as
    such, is trained on all candidates, each counted in both classes by its probability. Its odds, tempered by the number of
    features, and those of the votes decide on the candidates that are no base spans: those with a probability of
-   `LEAST` or more are added, longest first, if they overlap no span that is there already.
+   `LEAST` or more are added, longest first, if they overlap no span that is there already. Card and account numbers
+   that fail their checksum train the model, but are never added: they are no such numbers.
 
 Texts are scanned once, and the candidates with votes and features are written to the shared folder. What training
 collects is bounded by the numbers of kinds, labelers and features: patterns of votes (at most 6 * 3^6 counts) and
@@ -325,6 +326,9 @@ LABELERS: tuple[Callable[[Span], int], ...] = (
     votes_edges,
 )
 
+#: How often the votes of each are expected to be right, before any were seen: a checksum nearly always.
+EXPECTED = (0.7, 0.99, 0.8, 0.8, 0.8, 0.8)
+
 _SHAPES = ((re.compile(r"[0-9]+"), "9"), (re.compile(r"[A-ZÀ-Þ]+"), "A"), (re.compile(r"[a-zà-ÿ]+"), "a"))
 
 
@@ -386,10 +390,10 @@ def _probability(odds: float) -> float:
 def reliabilities(patterns: dict[str, int], rounds: int = 50, prior: float = 4.0) -> Reliability:
     """By expectation-maximisation over the numbers of candidates with each pattern of votes.
 
-    The prior counts as `prior` votes of which four in five are right, and as many candidates of which half are
+    The prior counts as `prior` votes of which a share `EXPECTED` is right, and as many candidates of which half are
     personal data. A reliability stays between 0.55 and 0.99, so votes keep their meaning.
     """
-    found = Reliability(0.5, (0.8,) * len(LABELERS))
+    found = Reliability(0.5, EXPECTED)
     for _ in range(rounds):
         chance = {p: _probability(found.odds(p)) for p in patterns}
         yes = sum(n * chance[p] for p, n in patterns.items())
@@ -398,7 +402,7 @@ def reliabilities(patterns: dict[str, int], rounds: int = 50, prior: float = 4.0
         for at in range(len(LABELERS)):
             hits = sum(n * (chance[p] if p[at] == "+" else 1 - chance[p]) for p, n in patterns.items() if p[at] != "0")
             votes = sum(n for p, n in patterns.items() if p[at] != "0")
-            right.append(min(0.99, max(0.55, (hits + 0.8 * prior) / (votes + prior))))
+            right.append(min(0.99, max(0.55, (hits + EXPECTED[at] * prior) / (votes + prior))))
         found = Reliability(min(0.98, max(0.02, share)), tuple(right))
     return found
 
@@ -445,11 +449,16 @@ def trained(found: DataFrame, to: str, smoothing: float = 4.0) -> Model:
     return Model(labelers, weights)
 
 
+_CHECKED, _CHECK = (CARD, IBAN), LABELERS.index(votes_check)
+
+
 def _decided(spans: list[dict], model: Model, least: float) -> list[dict]:
     """Base spans and what is added to them, by kind and start."""
     out = [(s["kind"], s["start"], s["end"], True, 1.0) for s in spans if s["base"]]
     scored = []
     for s in spans:
+        if s["kind"] in _CHECKED and s["votes"][_CHECK] == "-":
+            continue
         if not s["base"] and (p := model.probability(s["kind"], s["votes"], s["features"])) >= least:
             scored.append((s["start"] - s["end"], -p, s["start"], s["kind"], s["end"]))
     taken: list[tuple[int, int]] = []
