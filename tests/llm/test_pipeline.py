@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tiffin.llm import language, mixing, simhash
+from tiffin.llm import language, mixing
 from tiffin.llm.common import fold_ascii
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -47,15 +47,20 @@ def test_exact_stage(stages):
     assert ids(stages[2]) == ids(top)
 
 
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
 def test_near_stage(stages):
-    rows = stages[2].collect()
-    prints = [(r.doc_id, simhash.fingerprint_of((r.text or "").encode())) for r in rows]
-    label = {i: i for i, _ in prints}
-    for _ in rows:
-        for i, f in prints:
-            for j, g in prints:
-                if (f ^ g).bit_count() <= 3:
-                    label[i] = label[j] = min(label[i], label[j])
+    """One text of each group linked by a Jaccard similarity of 0.8 over five words, all pairs compared."""
+    sets = {r.doc_id: shingles(r.text) for r in stages[2].collect()}
+    label = {i: i for i in sets}
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and label[i] != label[j] and 5 * len(a & b) >= 4 * len(a | b):
+                old, new = sorted((label[i], label[j]), reverse=True)
+                label = {k: new if v == old else v for k, v in label.items()}
     assert ids(stages[3]) == sorted(set(label.values()))
 
 
