@@ -1,4 +1,3 @@
-import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +69,22 @@ def test_query_has_the_control_case_and_no_python(spark, sf_dir):
     assert r.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert r.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def seconds(spark, turns):
+    roles = F.when(F.col("id") % 7 < 3, "user").otherwise("assistant")
+    rows = spark.range(turns, numPartitions=1)
+    rows = rows.select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), roles.alias("role"), F.lit("ok <s>").alias("text"))
+    start = time.time()
+    found = chat.format_conversations(rows).select("formatted", "loss").first()
+    took = time.time() - start
+    said = sum(1 for i in range(turns) if i % 7 >= 3)
+    assert len(found.loss) == said
+    assert all(found.formatted[a:b] == "ok <\\s>" for a, b in (found.loss[0], found.loss[said // 2], found.loss[-1]))
+    return took
+
+
+def test_long_conversations_take_linear_time(spark):
+    seconds(spark, 2_000)
+    first = seconds(spark, 16_000)
+    assert seconds(spark, 32_000) < 3 * first + 5

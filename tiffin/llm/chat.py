@@ -6,7 +6,8 @@ into a block, by slicing the array where the role changes; and the blocks are co
     <|start|>role<|message|>text<|end|>            one block
     <|start|>role<|message|>text<|next|>text<|end|>   two merged turns
 
-The array is cut and joined, not grown turn by turn, so the work is linear in the conversation.
+The array is cut and joined, not grown turn by turn, and places are summed up in chunks, so the work is linear in
+the conversation (tests/llm/test_chat.py compares 16,000 and 32,000 turns).
 
 Control strings inside texts and roles - these five, other <|names|>, <s>, </s>, [INST], [/INST] -
 are escaped by one backslash after their first character. If backslashes follow that character
@@ -21,6 +22,8 @@ conversation. An empty table gives no rows. Other columns of the input take no p
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ from tiffin.llm.common import table
 
 START, MESSAGE, NEXT, END = "<|start|>", "<|message|>", "<|next|>", "<|end|>"
 ASSISTANT = "assistant"
+#: Pieces that are placed one after another.
+_CHUNK = 256
 #: First character with its backslashes, and the rest of a control string.
 _CONTROL = [r"(<\\*)(\|[A-Za-z_]*\|>|/?s>)", r"(\[\\*)(/?INST\])"]
 _ESCAPED = [r"(<\\*)\\(\|[A-Za-z_]*\|>|/?s>)", r"(\[\\*)\\(/?INST\])"]
@@ -46,20 +51,25 @@ def unescape(text: Column) -> Column:
     return text
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, also where `use` names it inside a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _merged(turns: Column) -> Column:
     """Blocks (role, texts) of neighbouring turns with one role."""
     n = F.size(turns)
     places = F.sequence(F.lit(0), n - 1)
     starts = F.filter(places, lambda i: (i == 0) | (turns[i]["role"] != F.get(turns, i - 1)["role"]))
 
-    def block(start: Column, k: Column) -> Column:
+    def block(starts: Column, start: Column, k: Column) -> Column:
         stop = F.coalesce(F.get(starts, k + 1), n)
         part = F.slice(turns, start + 1, stop - start)
         return F.struct(
             turns[start]["role"].alias("role"), F.transform(part, lambda t: t["text"]).alias("texts")
         )
 
-    return F.transform(starts, block)
+    return _bound(starts, lambda found: F.transform(found, lambda i, k: block(found, i, k)))
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
@@ -93,26 +103,48 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     )
 
 
-def _loss(blocks: Column, parts: Column) -> Column:
-    """Spans of assistant texts, one list per block, each from its block's place."""
+def _grown(lengths: Column, gap: int) -> Column:
     zero = F.lit(0).cast("long")
+    start = F.struct(F.array().cast("array<long>").alias("starts"), zero.alias("at"))
+    step = lambda s, n: F.struct(
+        F.concat(s["starts"], F.array(s["at"])).alias("starts"), (s["at"] + n + gap).alias("at")
+    )
+    return F.aggregate(lengths, start, step, lambda s: s["starts"])
+
+
+def _starts(lengths: Column, gap: int) -> Column:
+    """Where each piece begins, if `gap` characters stand between pieces.
 
-    def sums(lengths: Column, gap: int) -> Column:
-        """Where each piece begins, if `gap` characters stand between pieces."""
-        start = F.struct(F.array().cast("array<long>").alias("starts"), zero.alias("at"))
-        step = lambda s, n: F.struct(
-            F.concat(s["starts"], F.array(s["at"])).alias("starts"), (s["at"] + n + gap).alias("at")
+    An array that grows is copied for each piece, so it grows within chunks, and chunks are shifted.
+    """
+
+    def chunked(all_lengths: Column) -> Column:
+        last = F.floor(F.greatest(F.size(all_lengths) - 1, F.lit(0)) / _CHUNK).cast("int")
+        places = F.sequence(F.lit(0), last)
+        return F.transform(places, lambda c: F.slice(all_lengths, c * _CHUNK + 1, _CHUNK))
+
+    def total(chunk: Column) -> Column:
+        return F.aggregate(chunk, F.lit(0).cast("long"), lambda a, n: a + n + gap)
+
+    def shifted(chunks: Column) -> Column:
+        offsets = _grown(F.transform(chunks, total), 0)
+        return F.flatten(
+            F.zip_with(chunks, offsets, lambda c, at: F.transform(_grown(c, gap), lambda s: s + at))
         )
-        return F.aggregate(lengths, start, step, lambda s: s["starts"])
 
+    return _bound(_bound(lengths, chunked), shifted)
+
+
+def _loss(blocks: Column, parts: Column) -> Column:
+    """Spans of assistant texts, one list per block, each from its block's place."""
     def length(c: Column) -> Column:
         return F.char_length(c).cast("long")
 
-    block_starts = sums(F.transform(parts, length), 0)
+    block_starts = _starts(F.transform(parts, length), 0)
 
     def spans(b: Column, at: Column) -> Column:
         first = at + len(START) + length(b["role"]) + len(MESSAGE)
-        starts = sums(F.transform(b["texts"], length), len(NEXT))
+        starts = _starts(F.transform(b["texts"], length), len(NEXT))
         found = F.zip_with(
             b["texts"],
             starts,
