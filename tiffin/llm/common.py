@@ -53,6 +53,19 @@ def byte_slices(
         start, before = stop, int(ends[stop - 1])
 
 
+def hash_sample(df: DataFrame, key: Column, order: Column, most: int, rows: int) -> DataFrame:
+    """`most` of the `rows` of `df`, those first by hash of `key` and then `order`.
+
+    A bound on the hash leaves about twice as many before they are put in order, so what the
+    tasks send for that does not grow with their number.
+    """
+    hashed = F.xxhash64(key, F.lit(1))
+    if rows > 2 * most:
+        bound = -(1 << 63) + int(2 * most / rows * (1 << 64))
+        df = df.where(hashed < bound)
+    return df.orderBy(hashed, order).limit(most)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder under the session's shared one, deleted when the session ends."""
     root = spark.conf.get(_CHECKPOINT_DIR, None)

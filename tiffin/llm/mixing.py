@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import fold_ascii, staged, table
+from tiffin.llm.common import fold_ascii, hash_sample, staged, table
 
 #: Target shares of all tokens.
 TARGETS = {"good": 0.82, "poor": 0.12, "toxic": 0.06}
@@ -124,11 +124,13 @@ def train(
     labels: int = LABELS,
 ) -> DomainModel:
     """A model from up to `labels` rows of `labelled` (doc_id, domain), unique by doc_id."""
-    chosen = (
-        labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(labels)
-        .select(F.col("doc_id").alias("__mix_id"), F.col("domain").alias("__mix_domain"))
+    labelled = labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
+    chosen = hash_sample(
+        labelled.select(F.col("doc_id").alias("__mix_id"), F.col("domain").alias("__mix_domain")),
+        F.col("__mix_id"),
+        F.col("__mix_id"),
+        labels,
+        labelled.count(),
     )
     # A bounded number of rows of two columns, so a broadcast of known size.
     known = docs.select(docs[id_col].alias("__mix_key"), docs[text_col].alias("__mix_text"))

@@ -32,13 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import staged, table, utf8
+from tiffin.llm.common import hash_sample, staged, table, utf8
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -149,7 +148,7 @@ def _fit(nodes: DataFrame, shard_rows: int, sample_rows: int) -> list[HalfTree]:
     rows = nodes.count()
     depth = int(min(MAX_DEPTH, max(0, np.ceil(np.log2(max(rows, 1) / shard_rows)))))
     sample = (
-        nodes.select("fp").orderBy(F.xxhash64(F.col("fp"), F.lit(1)), "fp").limit(sample_rows)
+        hash_sample(nodes.select("fp"), F.col("fp"), F.col("fp"), sample_rows, rows)
         if depth
         else nodes.select("fp").limit(0)
     )
