@@ -56,6 +56,13 @@ def test_deliveries_join_only_what_is_asked_for(stored):
     assert text.count("FileScan") == 2
 
 
+def test_status_history_shuffles_the_rows_once(stored):
+    text = final(silver.order_status_history(stored["events"]))
+    # rows by key and range, beside the cuts, a row in millions, by key
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, _range", text)) == 1 and shuffles(text) <= 2
+    assert text.count("Window [") == 1 and "SortAggregate" not in text and "SortMergeJoin" not in text
+
+
 def test_region_report(stored):
     text = final(gold.delivery_metrics_by_region(stored["deliveries"], stored["complaints"]))
     assert shuffles(text) == 3  # deliveries, counts per order, sums per region

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tests.conftest import rows
+from tiffin.operators import intervals
 from tiffin.operators.band_join import PARTS, left_band_join
 from tiffin.operators.dedup import first_per_key
 from tiffin.operators.intervals import with_end_time
@@ -94,15 +95,32 @@ def history_table(spark, seed):
     return spark.createDataFrame(list(data), "k int, t timestamp, kind string, extra long")
 
 
-@pytest.mark.parametrize("span", [1, 3600, 86_400])
-def test_end_time_equals_plain_window(spark, span):
-    df = history_table(spark, span).repartition(6)
+@pytest.mark.parametrize("range_rows, chunk", [(1, 512), (3, 8), (40, 512), (1 << 22, 512)])
+def test_end_time_equals_plain_window(spark, monkeypatch, range_rows, chunk):
+    """With every row a cut, with few, and with none."""
+    monkeypatch.setattr(intervals, "CHUNK", chunk)
+    df = history_table(spark, range_rows % 100).repartition(6)
     window = Window.partitionBy("k").orderBy("t", "kind", "extra")
     want = df.withColumn("end_time", F.lead("t").over(window))
-    got = with_end_time(df, "k", "t", ["kind", "extra"], span)
+    got = with_end_time(df, "k", "t", ["kind", "extra"], range_rows)
     assert rows(got, *want.columns) == rows(want, *want.columns)
 
 
+def test_ranges_cut_hot_keys_and_instants(spark):
+    """No window holds much more than a range, although a third of the rows share a key and an instant."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("timestamp").alias("t"),
+        "id",
+    )
+    order = F.struct("t", "id")
+    cuts = intervals._cuts(df, "k", order, 100).collect()
+    hot = next(r for r in cuts if r._key == 7)
+    assert 50 < sum(map(len, hot._chunks)) < 200
+    want = df.withColumn("end_time", F.lead("t").over(Window.partitionBy("k").orderBy("t", "id")))
+    assert rows(with_end_time(df, "k", "t", ["id"], 100)) == rows(want)
+
+
 def test_end_time_keeps_every_row(spark):
     df = history_table(spark, 3)
     got = with_end_time(df, "k", "t", ["kind", "extra"])
