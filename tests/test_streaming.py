@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tiffin.sources.messages import message_files, message_files_stream
-from tiffin.streaming.ingest import bronze_stream, ingest_to_files, ingest_to_table
+from tiffin.streaming.ingest import bronze_stream, first_in_task, ingest_to_files, ingest_to_table
 
 
 def as_of():
@@ -71,3 +71,25 @@ def test_ingest_to_table(spark, tmp_path, database):
     table = f"{database}.order_events_bronze"
     ingest_to_table(out, table, str(tmp_path / "check")).awaitTermination()
     assert rows(spark.table(table), "order_id") == [("1",)]
+
+
+def test_a_hot_key_leaves_each_task_about_once(spark):
+    df = spark.range(60_000, numPartitions=3).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 3 == 1, 5).alias("n"),
+        F.timestamp_seconds(F.col("id") % 2).alias("t"),
+        "id",
+    )
+    batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    try:
+        kept = first_in_task(df, ["k", "n"]).collect()
+        forgetful = first_in_task(df, ["k", "n"], remembered=0).count()
+        spread = first_in_task(df, ["k", "n", "t"]).where("k = 'hot'").count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batches)
+    assert sum(r.k == "hot" for r in kept) == 3 and sum(r.k is None for r in kept) == 3
+    assert spread == 6
+    assert len(kept) == 20_006 and min(r.id for r in kept) == 0  # all other keys, and the first copies
+    assert forgetful == 20_000 + 2 * 60
+    assert rows(first_in_task(df.limit(0), ["k"])) == []

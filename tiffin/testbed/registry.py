@@ -31,6 +31,8 @@ from tiffin.testbed import fixtures
 Query = Callable[[SparkSession, str], DataFrame]
 
 EVENT_KINDS = ("click", "error", "purchase", "view")
+#: Files that one batch of a stream takes.
+MAX_FILES = 16
 EVENTS_AS_OF = "2024-01-12 00:00:00"
 
 
@@ -137,7 +139,7 @@ def _stream(t: Tables, copies: int, replay_keys: list[str] | None) -> DataFrame:
     for _ in range(copies):
         messages.write.mode("append").text(inbox)
         rows = bronze_stream(
-            message_files_stream(t.spark, inbox), "orders", fixtures.as_of(), replay_keys
+            message_files_stream(t.spark, inbox, MAX_FILES), "orders", fixtures.as_of(), replay_keys
         )
         ingest_to_files(rows, table, checkpoint).awaitTermination()
     return t.spark.read.schema(schemas.ORDERS).parquet(table)
