@@ -1,0 +1,138 @@
+"""Silver tables refreshed from changes hold what a full run puts there, and only touched months are written."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tiffin import settings
+from tiffin.plans import jobs, refresh
+from tiffin.plans.refresh import COMPLAINTS, DELIVERIES, ORDERS, REFRESHED, WEATHER
+from tiffin.sinks.tables import MONTH, TableStore
+from tiffin.sources.messages import message_files_stream
+from tiffin.streaming.changes import Changes
+from tiffin.testbed import fixtures
+
+TOPICS = {"orders": "event_time", "complaints": "timestamp_received", "weather": "timestamp"}
+
+
+def put(spark, sf_dir, inbox, part):
+    """The messages of one part: 0 nearly all, 1 some of one month but no complaints, 2 a few of all kinds."""
+    for topic, time in TOPICS.items():
+        text = fixtures.messages(spark, sf_dir, topic).select(F.col("value").cast("string"))
+        when = F.get_json_object("value", f"$.{time}")
+        draw = F.pmod(F.xxhash64("value"), F.lit(100))
+        month = F.substring(when, 1, 7).eqNullSafe(MONTHS[0]) & (draw < 60) & F.lit(topic != "complaints")
+        number = F.when(month, 1).when(draw >= 97, 2).otherwise(0)
+        text.where(number == part).write.mode("append").text(f"{inbox}/{settings.TOPICS[topic]}")
+
+
+MONTHS = []
+
+
+def files(spark, database):
+    """Files by table and month."""
+    base = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()["info_value"]
+    base = base.removeprefix("file:")
+    return {
+        (table, month): sorted(f for f in os.listdir(f"{base}/{table}/{month}") if f.endswith(".parquet"))
+        for table in REFRESHED
+        for month in os.listdir(f"{base}/{table}")
+        if month.startswith(MONTH)
+    }
+
+
+@pytest.fixture
+def store(spark, database):
+    return TableStore(spark, database)
+
+
+def ingest(store, inbox, checkpoint):
+    def messages(topic):
+        return message_files_stream(store.spark, f"{inbox}/{settings.TOPICS[topic]}")
+
+    for table, topic in jobs.BRONZE.items():
+        if topic in TOPICS:
+            jobs.ingest_bronze(store, table, messages, f"{checkpoint}/{table}", fixtures.as_of())
+
+
+def full(store):
+    """What a full run computes from bronze, by table."""
+    found, inputs = {}, {n: store.read(n).drop("ingestion_time") for n in refresh.SOURCES}
+    for table in REFRESHED:
+        job = jobs.SILVER[table]
+        found[table] = inputs[table] = job.build(*[inputs[n] for n in job.inputs])
+    return {table: rows(df) for table, df in found.items()}
+
+
+def stored(store):
+    return {table: rows(store.read(table).drop("ingestion_time")) for table in REFRESHED}
+
+
+def test_refresh_equals_a_full_run(spark, sf_dir, store, database, tmp_path):
+    inbox, checkpoint = str(tmp_path / "in"), str(tmp_path / "check")
+    common = fixtures.messages(spark, sf_dir, "orders").select(F.col("value").cast("string"))
+    month = F.substring(F.get_json_object("value", "$.event_time"), 1, 7)
+    counted = common.groupBy(month.alias("m")).count().where("m is not null").orderBy(F.desc("count"), "m")
+    MONTHS[:] = [counted.first()["m"]]
+
+    put(spark, sf_dir, inbox, 0)
+    ingest(store, inbox, checkpoint)
+    assert not refresh.can_refresh(store)
+    for table in REFRESHED:
+        jobs.run_table_job(store, table, mode="overwrite")
+    refresh.settle(store, checkpoint, refresh.taken_in(store, checkpoint))
+    assert refresh.can_refresh(store)
+    assert not any(refresh.refresh_silver(store, checkpoint).values())
+
+    before = files(spark, database)
+    put(spark, sf_dir, inbox, 1)
+    ingest(store, inbox, checkpoint)
+    wrote = refresh.refresh_silver(store, checkpoint)
+    assert wrote[ORDERS] and wrote[WEATHER] and wrote[DELIVERIES] and not wrote[COMPLAINTS]
+    assert all(str(m)[:7] == MONTHS[0] for m in wrote[ORDERS])
+    after = files(spark, database)
+    touched = {(t, f"{MONTH}={m}") for t, months in wrote.items() for m in months}
+    assert len(touched) < len(before) / 2
+    assert {k: v for k, v in after.items() if k not in touched} == {k: v for k, v in before.items() if k not in touched}
+    assert all(after[k] != before.get(k) for k in touched)
+    assert stored(store) == full(store)
+
+    put(spark, sf_dir, inbox, 2)
+    ingest(store, inbox, checkpoint)
+    refresh.refresh_silver(store, checkpoint)
+    assert stored(store) == full(store)
+    assert not any(refresh.refresh_silver(store, checkpoint).values())
+
+
+def test_changes_stay_pending_until_they_are_settled(spark, database, tmp_path):
+    spark.sql(f"CREATE TABLE {database}.t (a INT) USING parquet")
+    changes = Changes(spark, f"{database}.t", str(tmp_path / "changes"))
+    changes.collect()
+    assert changes.last() is None and changes.pending().isEmpty()
+    for a in (1, 2):
+        spark.sql(f"INSERT INTO {database}.t VALUES ({a})")
+        changes.collect()
+    assert rows(changes.pending(), "a") == [("1",), ("2",)]
+    again = Changes(spark, f"{database}.t", str(tmp_path / "changes"))
+    again.collect()
+    assert rows(again.pending(), "a") == [("1",), ("2",)]
+    again.settle(again.last())
+    assert again.pending().isEmpty()
+    spark.sql(f"INSERT INTO {database}.t VALUES (3)")
+    again.collect()
+    assert rows(again.pending(), "a") == [("3",)]
+
+
+def test_replaced_months_leave_the_others_alone(spark, store, database):
+    df = spark.sql("SELECT i, CAST(make_date(2024, m, 5) AS TIMESTAMP) AS t FROM VALUES (1, 1), (2, 1), (3, 2), (4, 3) AS v(i, m)")
+    store.replace(df, "t", "t")
+    months = store.months(df.where("i in (1, 3)"), "t")
+    assert [str(m) for m in months] == ["2024-01-01", "2024-02-01"]
+    kept = store.of_months("t", months).where("i = 2")
+    store.replace_months(kept.withColumn("i", F.col("i") * 10), "t", "t", months)  # reads what it replaces
+    assert rows(store.read("t"), "i") == [("20",), ("4",)]
+    assert spark.sql(f"SHOW PARTITIONS {database}.t").count() == 2
+    store.replace_months(kept, "t", "t", [])
+    assert rows(store.read("t"), "i") == [("20",), ("4",)]

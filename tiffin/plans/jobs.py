@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tiffin import schemas, settings
-from tiffin.plans import calendar, gold, silver
+from tiffin.plans import calendar, gold, refresh, silver
 from tiffin.plans.bronze import bronze
 from tiffin.session import CatalogBinding, build_session
 from tiffin.sinks.tables import TableStore, stamped
@@ -174,8 +174,9 @@ def run_all(
     """Every job once, inputs before what reads them; returns the tables written.
 
     `mode` overrides the write mode of the silver and gold tables. With `checkpoint`, a folder,
-    bronze tables take only what arrived since the last run, and the others are replaced unless
-    `mode` says otherwise; so running it again adds nothing.
+    bronze tables take only what arrived since the last run, silver tables of files are refreshed for what that
+    changes (`refresh`), and the others are replaced unless `mode` says otherwise; so running it
+    again adds nothing.
     """
     run_calendar(store)
     for table in BRONZE:
@@ -183,10 +184,20 @@ def run_all(
             run_bronze(store, table, messages, as_of)
         else:
             ingest_bronze(store, table, messages, f"{checkpoint}/{table}", as_of)
+    fresh: Sequence[str] = ()
+    changed: dict[str, int | None] = {}
     if checkpoint is not None:
+        if mode is None and refresh.can_refresh(store):
+            refresh.refresh_silver(store, checkpoint)
+            fresh = refresh.REFRESHED
+        else:
+            changed = refresh.taken_in(store, checkpoint)
         mode = mode or "overwrite"
     for table in TABLE_JOBS:
-        run_table_job(store, table, as_of, mode)
+        if table not in fresh:
+            run_table_job(store, table, as_of, mode)
+    if changed:
+        refresh.settle(store, checkpoint, changed)
     return [CALENDAR, *BRONZE, *TABLE_JOBS]
 
 

@@ -530,6 +530,7 @@ def _content(table: str) -> str:
     )
 
 
+QUERIES["full_run_refreshed"] = "SELECT * FROM run_s_deliveries"
 QUERIES["full_run"] = "\nUNION ALL ".join(_content(table) for table in _RUN_TABLES)
 
 _RUN_RULES = {

@@ -19,7 +19,7 @@ from tiffin import schemas, settings
 from tiffin.functions import city_key, region_of_address
 from tiffin.operators.band_join import band_matches
 from tiffin.operators.intervals import with_end_time
-from tiffin.plans import calendar, gold, quality, silver
+from tiffin.plans import calendar, gold, jobs, quality, refresh, silver
 from tiffin.plans.bronze import bronze, decode_json, recent
 from tiffin.plans.jobs import run_all
 from tiffin.sinks.staging import staging_path
@@ -201,6 +201,39 @@ def _full_run(t: Tables, look: Callable[[TableStore, list[str]], DataFrame]) ->
         t.spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
+def _refreshed(t: Tables) -> DataFrame:
+    """Deliveries after two ingests: tables built from most messages, then refreshed for the others."""
+    database = f"tiffin_{uuid.uuid4().hex}"
+    inbox, checkpoint, out = (staging_path(t.spark, n) for n in ("inbox", "checkpoint", "deliveries"))
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{staging_path(t.spark, 'database')}'")
+    try:
+        store = TableStore(t.spark, database)
+        for late in (False, True):
+            for table, topic in jobs.BRONZE.items():
+                if table in refresh.SOURCES:
+                    text = t.messages(topic).select(F.col("value").cast("string").alias("value"))
+                    part = (F.pmod(F.xxhash64("value"), F.lit(50)) == 0) == late
+                    text.where(part).write.mode("append").text(f"{inbox}/{topic}")
+                    jobs.ingest_bronze(
+                        store,
+                        table,
+                        lambda topic: message_files_stream(t.spark, f"{inbox}/{topic}", MAX_FILES),
+                        f"{checkpoint}/{table}",
+                        fixtures.as_of(),
+                    )
+            if late:
+                refresh.refresh_silver(store, checkpoint)
+            else:
+                last = refresh.taken_in(store, checkpoint)
+                for table in refresh.REFRESHED:
+                    jobs.run_table_job(store, table, fixtures.as_of(), "overwrite")
+                refresh.settle(store, checkpoint, last)
+        store.read(refresh.DELIVERIES).drop("ingestion_time").write.parquet(out)
+    finally:
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return t.spark.read.parquet(out)
+
+
 def _contents(store: TableStore, tables: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [_content(name, store.read(name)) for name in tables])
 
@@ -288,6 +321,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     .groupBy("user_id")
     .agg(*gold.latest_per_kind("event_type", "ts", EVENT_KINDS)),
     "full_run": lambda t: _full_run(t, _contents),
+    "full_run_refreshed": _refreshed,
     "full_run_quality": lambda t: _full_run(t, lambda store, tables: _quality(store)),
 }
 
