@@ -80,6 +80,11 @@ def test_business_summary(stored):
     assert "delivery_address" not in text and "temperature" not in text
 
 
+def test_daily_summary_merges_by_hash(stored):
+    text = final(gold.delivery_summary_daily(stored["deliveries"], stored["weather"]))
+    assert "SortAggregate" not in text and "BroadcastHashJoin" in text
+
+
 def test_weather_impact(stored):
     text = final(
         gold.weather_impact(stored["deliveries"], stored["weather"], stored["complaints"])

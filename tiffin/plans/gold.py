@@ -11,6 +11,7 @@ task. The last grouping has few groups and sends only partial sums.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +62,12 @@ def delivery_metrics_by_region(
     )
 
 
+def _order_key() -> Column:
+    """A number that puts rows in order by `order_time` and then `order_id`, which is above 0."""
+    micros = F.unix_micros("order_time").cast("decimal(18,0)")
+    return micros * F.lit(Decimal(10**19)) + F.coalesce("order_id", F.lit(0)).cast("decimal(19,0)")
+
+
 def delivery_summary_daily(
     deliveries: DataFrame, weather: DataFrame, late: Sequence[str] = settings.REPORTED_LATE
 ) -> DataFrame:
@@ -68,12 +75,17 @@ def delivery_summary_daily(
     per_day = deliveries.groupBy(F.to_date("order_time").alias("date")).agg(
         F.count("*").alias("total_orders"), _late_count(late).alias("late_orders")
     )
-    observed = weather.filter(F.col("weather_condition").isNotNull())
-    first = F.struct("order_time", "order_id", "weather_condition")
-    summary = observed.groupBy(F.to_date("order_time").alias("date")).agg(
-        F.min(first).alias("first")
+    observed = weather.filter(F.col("weather_condition").isNotNull() & F.col("order_time").isNotNull())
+    observed = observed.select(
+        F.to_date("order_time").alias("date"), _order_key().alias("place"), "weather_condition"
+    )
+    # A number of fixed width is merged by hash; the text comes from the few rows that have the day's least.
+    first = observed.groupBy("date").agg(F.min("place").alias("place"))
+    summary = (
+        observed.join(F.broadcast(first), ["date", "place"])  # one row per day
+        .groupBy("date")
+        .agg(F.array_min(F.collect_set("weather_condition")).alias("weather_summary"))
     )
-    summary = summary.select("date", F.col("first.weather_condition").alias("weather_summary"))
     return per_day.join(summary, "date", "left")
 
 
