@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows, ts
 from tiffin import schemas
 from tiffin.plans import silver
-from tiffin.plans.bronze import bronze, decode_json, recent
+from tiffin.plans.bronze import accepted, bronze, decode_json, recent, with_outcome
 from tiffin.sources.messages import topic_options
 
 def as_of():
@@ -72,3 +72,31 @@ def test_topic_options():
         "subscribe": "orders-topic",
         "startingOffsets": "earliest",
     }
+
+
+OUTCOMES = {
+    '{"order_id": 1, "event_time": "2024-01-02 10:00:00"}': "accepted",
+    '{"order_id": "x", "event_time": "2024-01-02 10:00:00"}': "accepted",
+    '{"order_id": 2, "event_time": "2023-01-02 10:00:00"}': "late",
+    '{"order_id": "x", "event_time": "2023-01-02 10:00:00"}': "late",
+    '{"order_id": 3}': "no_time",
+    '{"order_id": 4, "event_time": null}': "no_time",
+    '{"order_id": 5, "event_time": "bad"}': "undecodable",
+    "not json": "undecodable",
+    '{"order_id": 6, "event_ti': "undecodable",
+    None: "undecodable",
+}
+
+
+def test_every_message_has_one_outcome(spark):
+    sent = messages(spark, *OUTCOMES, *OUTCOMES)
+    found = with_outcome(sent, "orders", as_of())
+    assert found.columns == ["outcome", "message", *schemas.ORDERS.names]
+    assert found.where("outcome <> 'accepted'").select("message", "outcome").distinct().count() == 8
+    for r in found.collect():
+        assert r.message is None if r.outcome == "accepted" else OUTCOMES[r.message] == r.outcome
+    assert found.count() == 2 * len(OUTCOMES)
+    assert rows(accepted(found, "orders")) == rows(bronze(sent, "orders", as_of()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert with_outcome(messages(spark, "x").limit(0), "orders").count() == 0

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tiffin.plans.bronze import OUTCOME, accepted, with_outcome
 from tiffin.sources.messages import message_files, message_files_stream
 from tiffin.streaming.ingest import bronze_stream, first_in_task, ingest_to_files, ingest_to_table
 
@@ -93,3 +94,21 @@ def test_a_hot_key_leaves_each_task_about_once(spark):
     assert len(kept) == 20_006 and min(r.id for r in kept) == 0  # all other keys, and the first copies
     assert forgetful == 20_000 + 2 * 60
     assert rows(first_in_task(df.limit(0), ["k"])) == []
+
+
+def test_accepted_and_rejected_messages_part_in_one_write(spark, tmp_path):
+    put(tmp_path / "in", "a", event(1), event(2, "2020-01-01T00:00:00"), event(3, "bad"))
+    (tmp_path / "in" / "b").write_text("not json\n")
+
+    def ingest():
+        out = with_outcome(message_files_stream(spark, str(tmp_path / "in")), "order_events", as_of())
+        ingest_to_files(out, str(tmp_path / "out"), str(tmp_path / "check"), [OUTCOME]).awaitTermination()
+        return spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
+
+    for _ in range(2):  # a rerun adds nothing
+        stored = ingest()
+        assert [r.outcome for r in stored.orderBy("outcome").collect()] == ["accepted", "late", "undecodable", "undecodable"]
+    assert rows(accepted(stored, "order_events"), "order_id") == [("1",)]
+    plan = accepted(stored, "order_events")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(outcome" in plan
+    assert stored.where("message = 'not json'").count() == 1

@@ -6,10 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tiffin import schemas, settings
 
+#: What became of a message.
+OUTCOME = "outcome"
+ACCEPTED, LATE, NO_TIME, UNDECODABLE = "accepted", "late", "no_time", "undecodable"
+_DAMAGED = "_damaged"
+
 
 def decode_json(
     messages: DataFrame, schema: StructType | str, keep: Sequence[str] = ()
@@ -37,3 +42,31 @@ def bronze(messages: DataFrame, topic: str, as_of: Column | None = None) -> Data
     """Rows of one of the four topics, decoded and recent."""
     schema, time = schemas.MESSAGES[topic]
     return recent(decode_json(messages, schema), time, as_of)
+
+
+def with_outcome(messages: DataFrame, topic: str, as_of: Column | None = None) -> DataFrame:
+    """Every message once: its outcome, its text unless accepted, and its decoded columns.
+
+    `bronze` takes what is accepted. The others are late, or have no time that can be read; of these a
+    message that is not whole JSON of the topic's types is undecodable. Written by outcome
+    (`ingest_to_files`), accepted and rejected messages part in one reading and one write.
+    """
+    schema, time = schemas.MESSAGES[topic]
+    checked = StructType([*schema.fields, StructField(_DAMAGED, StringType())])
+    decoded = F.from_json("message", checked, {"columnNameOfCorruptRecord": _DAMAGED})
+    rows = messages.select(F.col("value").cast("string").alias("message")).withColumn("data", decoded)
+    clock = F.current_timestamp() if as_of is None else as_of
+    cut = clock - F.expr(f"interval {settings.LATE_DATA_HORIZON}")
+    at, damaged = F.col("data")[time], F.col("data")[_DAMAGED]
+    unread = F.when(F.col("data").isNull() | damaged.isNotNull(), UNDECODABLE).otherwise(NO_TIME)
+    outcome = F.when(at >= cut, ACCEPTED).when(at < cut, LATE).otherwise(unread)
+    return rows.withColumn(OUTCOME, outcome).select(
+        OUTCOME,
+        F.when(F.col(OUTCOME) != ACCEPTED, F.col("message")).alias("message"),
+        *[F.col("data")[name].alias(name) for name in schema.names],
+    )
+
+
+def accepted(stored: DataFrame, topic: str) -> DataFrame:
+    """The bronze rows of a table written by outcome; the files of others are not opened."""
+    return stored.where(F.col(OUTCOME) == ACCEPTED).select(*schemas.MESSAGES[topic][0].names)

@@ -278,6 +278,11 @@ SELECT * FROM fx_complaints WHERE timestamp_received >= {_CUT}""",
     "bronze_weather": f'SELECT * FROM fx_weather WHERE "timestamp" >= {_CUT}',
     "stream_bronze_orders": "SELECT * FROM b_orders",
     "stream_drop_replays": "SELECT DISTINCT * FROM b_orders",
+    "stream_order_outcomes": f"""
+SELECT CASE WHEN order_id % 97 = 0 THEN 'undecodable' WHEN event_time >= {_CUT} THEN 'accepted'
+  ELSE 'late' END AS outcome,
+  CASE WHEN order_id % 97 <> 0 THEN event_time::DATE END AS date, count(*) AS messages
+FROM fx_orders GROUP BY ALL""",
     "silver_orders_clean": "SELECT * FROM s_orders",
     "silver_order_events_clean": "SELECT * FROM s_events",
     "silver_complaints_clean": "SELECT * FROM s_complaints",

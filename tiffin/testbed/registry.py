@@ -20,7 +20,7 @@ from tiffin.functions import city_key, region_of_address
 from tiffin.operators.band_join import band_matches
 from tiffin.operators.intervals import with_end_time
 from tiffin.plans import calendar, gold, jobs, quality, refresh, silver
-from tiffin.plans.bronze import bronze, decode_json, recent
+from tiffin.plans.bronze import ACCEPTED, OUTCOME, accepted, bronze, decode_json, recent, with_outcome
 from tiffin.plans.jobs import run_all
 from tiffin.sinks.staging import staging_path
 from tiffin.sinks.tables import TableStore
@@ -145,6 +145,24 @@ def _stream(t: Tables, copies: int, replay_keys: list[str] | None) -> DataFrame:
     return t.spark.read.schema(schemas.ORDERS).parquet(table)
 
 
+def _outcomes(t: Tables) -> DataFrame:
+    """Order messages by outcome and day, after a stream has written each of them once, by outcome.
+
+    The accepted ones are counted among the bronze rows.
+    """
+    inbox, table, checkpoint = (
+        staging_path(t.spark, name) for name in ("inbox", "orders_by_outcome", "checkpoint")
+    )
+    t.messages("orders").select(F.col("value").cast("string").alias("value")).write.text(inbox)
+    rows = with_outcome(message_files_stream(t.spark, inbox, MAX_FILES), "orders", fixtures.as_of())
+    ingest_to_files(rows, table, checkpoint, [OUTCOME]).awaitTermination()
+    stored = t.spark.read.schema(rows.schema).parquet(table)
+    found = accepted(stored, "orders").select(F.lit(ACCEPTED).alias(OUTCOME), "event_time")
+    rest = stored.where(F.col(OUTCOME) != ACCEPTED).select(OUTCOME, "event_time")
+    days = found.union(rest).groupBy(OUTCOME, F.to_date("event_time").alias("date"))
+    return days.agg(F.count("*").alias("messages"))
+
+
 def _content(table: str, df: DataFrame) -> DataFrame:
     """One row per column of a stored table: how many values, and what they range over and sum to."""
     lines, columns = [], []
@@ -255,6 +273,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "bronze_weather": _bronze_query("weather"),
     "stream_bronze_orders": lambda t: _stream(t, 1, None),
     "stream_drop_replays": lambda t: _stream(t, 2, schemas.ORDERS.names),
+    "stream_order_outcomes": _outcomes,
     "silver_orders_clean": lambda t: silver.orders_clean(t.bronze("orders")),
     "silver_order_events_clean": lambda t: t.events(),
     "silver_complaints_clean": lambda t: t.complaints(),
