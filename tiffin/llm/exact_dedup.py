@@ -4,13 +4,14 @@ Texts are equal when they are identical after lower-casing A-Z; a null text coun
 step groups by the whole text, not only by its digest:
 
 1. each task merges the equal texts of its own input (partial aggregation before the shuffle);
-2. groups of (digest, salt, text) are merged, the salt being that of the input task, so that the
-   copies of one text meet in `salts` places;
-3. the winners of the salts are merged by (digest, text).
+2. groups of (digest, salt, text) are merged, the salt being a hash of the id, so that the copies of
+   one text meet in `salts` places;
+3. the winners of the salts are merged by (digest, text), with a bit for each salt that they came from.
 
-A document finds its group by the digest alone where step 3 saw one text for that digest; the
-documents of a digest with several texts are matched by digest and text. So a collision costs time
-and never merges different texts.
+The way back is salted too: a group's result is repeated for the salts that its bits name, which is
+once for a text of one document, and a document meets it by digest and salt. Where step 3 saw several
+texts for a digest, its documents are matched by digest, salt and text. So a collision costs time and
+never merges different texts. Only rows that repeat both id and text share one place.
 
 Defined results: null and empty texts form one group. The largest doc_id of a group stays; null is
 smaller than any id. If rows repeat both doc_id and text, one of them stays. An empty table gives
@@ -28,31 +29,40 @@ from tiffin.llm.common import fold_ascii, staged, table
 
 SALTS = 16
 _ID, _TEXT, _DIGEST, _COPY = "__dedup_id", "__dedup_text", "__dedup_digest", "__dedup_copy"
+_SALT, _BITS = "__dedup_salt", "__dedup_bits"
 
 
 def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _groups(keyed: DataFrame, salts: int) -> DataFrame:
-    """One row per different text: digest, text, largest id, number of rows."""
+def _bit(salt: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), salt)
+
+
+def _groups(keyed: DataFrame) -> DataFrame:
+    """One row per different text: digest, text, largest id, number of rows, salts that it has."""
     return (
-        keyed.withColumn("__dedup_salt", F.spark_partition_id() % salts)
-        .groupBy(_DIGEST, "__dedup_salt", _TEXT)
+        keyed.groupBy(_DIGEST, _SALT, _TEXT)
         .agg(F.max(_ID).alias("top"), F.count(F.lit(1)).alias("n"))
         .groupBy(_DIGEST, _TEXT)
-        .agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
+        .agg(
+            F.max("top").alias("keep_id"),
+            F.sum("n").alias("group_size"),
+            F.bit_or(_bit(F.col(_SALT))).alias(_BITS),
+        )
     )
 
 
-def _winners(keyed: DataFrame, salts: int) -> tuple[DataFrame, DataFrame | None]:
-    """Per digest: keep_id and group_size; and, if digests collide, the same per (digest, text)."""
-    groups = _groups(keyed, salts)
+def _winners(keyed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Per digest: keep_id, group_size and salts; and, if digests collide, the same per (digest, text)."""
+    groups = _groups(keyed)
     per_digest = staged(
         groups.groupBy(_DIGEST).agg(
             F.count(F.lit(1)).alias("texts"),
             F.max("keep_id").alias("keep_id"),
             F.sum("group_size").alias("group_size"),
+            F.bit_or(_BITS).alias(_BITS),
         ),
         "digests",
     )
@@ -60,13 +70,22 @@ def _winners(keyed: DataFrame, salts: int) -> tuple[DataFrame, DataFrame | None]
     alone = per_digest.where("texts = 1").drop("texts")
     if collided.isEmpty():
         return alone, None
-    exact = _groups(keyed.join(collided, _DIGEST, "left_semi"), salts)
+    exact = _groups(keyed.join(collided, _DIGEST, "left_semi"))
     return alone, exact
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, digest: Callable) -> DataFrame:
+def _per_salt(winners: DataFrame, salts: int) -> DataFrame:
+    """`winners` once for each salt that its documents have."""
+    named = F.filter(
+        F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.col(_BITS).bitwiseAND(_bit(s)) != 0
+    )
+    return winners.withColumn(_SALT, F.explode(named)).drop(_BITS)
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, salts: int, digest: Callable) -> DataFrame:
     text = fold_ascii(docs[text_col])
-    return docs.withColumns({_ID: docs[id_col], _TEXT: text, _DIGEST: digest(text)})
+    salt = F.pmod(F.xxhash64(docs[id_col]), F.lit(salts)).cast("int")
+    return docs.withColumns({_ID: docs[id_col], _SALT: salt, _TEXT: text, _DIGEST: digest(text)})
 
 
 def exact_duplicates(
@@ -76,32 +95,24 @@ def exact_duplicates(
     salts: int = SALTS,
     digest: Callable[[Column], Column] = sha256,
 ) -> DataFrame:
-    """Per row of `docs`: doc_id, keep_id, group_size, kept, digest."""
-    keyed = _keyed(docs, id_col, text_col, digest).select(_ID, _TEXT, _DIGEST)
-    alone, exact = _winners(keyed, salts)
-    columns = [
-        F.col(_ID).alias("doc_id"),
-        "keep_id",
-        "group_size",
-        (F.col(_ID).eqNullSafe(F.col("keep_id")) & (F.col(_COPY) == 1)).alias("kept"),
-        F.col(_DIGEST).alias("digest"),
-    ]
-    copies = Window.partitionBy(_DIGEST, _ID).orderBy(_ID)
-    found = (
-        keyed.drop(_TEXT)
-        .withColumn(_COPY, F.row_number().over(copies))
-        .join(alone, _DIGEST)
-        .select(columns)
-    )
-    if exact is None:
-        return found
-    copies = Window.partitionBy(_DIGEST, _TEXT, _ID).orderBy(_ID)
-    rest = (
-        keyed.withColumn(_COPY, F.row_number().over(copies))
-        .join(exact, [_DIGEST, _TEXT])
-        .select(columns)
-    )
-    return found.union(rest)
+    """Per row of `docs`: doc_id, keep_id, group_size, kept, digest. `salts` are 63 at most."""
+    keyed = _keyed(docs, id_col, text_col, salts, digest).select(_ID, _SALT, _TEXT, _DIGEST)
+    alone, exact = _winners(keyed)
+
+    def found(rows: DataFrame, winners: DataFrame, keys: list[str]) -> DataFrame:
+        # An id has one salt, so its copies are already where the join has put them.
+        copies = Window.partitionBy(*keys, _ID).orderBy(_ID)
+        joined = rows.join(_per_salt(winners, salts), keys).withColumn(_COPY, F.row_number().over(copies))
+        return joined.select(
+            F.col(_ID).alias("doc_id"),
+            "keep_id",
+            "group_size",
+            (F.col(_ID).eqNullSafe(F.col("keep_id")) & (F.col(_COPY) == 1)).alias("kept"),
+            F.col(_DIGEST).alias("digest"),
+        )
+
+    rows = found(keyed.drop(_TEXT), alone, [_DIGEST, _SALT])
+    return rows if exact is None else rows.union(found(keyed, exact, [_DIGEST, _SALT, _TEXT]))
 
 
 def drop_exact_duplicates(
@@ -113,8 +124,8 @@ def drop_exact_duplicates(
 ) -> DataFrame:
     """The rows of `docs` that stay, with all their columns. Of rows that repeat doc_id and text,
     the first by the other columns' hash stays."""
-    keyed = _keyed(docs, id_col, text_col, digest)
-    alone, exact = _winners(keyed.select(_ID, _TEXT, _DIGEST), salts)
+    keyed = _keyed(docs, id_col, text_col, salts, digest)
+    alone, exact = _winners(keyed.select(_ID, _SALT, _TEXT, _DIGEST))
     order = F.xxhash64(*[docs[c] for c in docs.columns]) if docs.columns else F.lit(0)
 
     def one_each(rows: DataFrame, winners: DataFrame, keys: list[str]) -> DataFrame:
