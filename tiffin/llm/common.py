@@ -66,6 +66,25 @@ def hash_sample(df: DataFrame, key: Column, order: Column, most: int, rows: int)
     return df.orderBy(hashed, order).limit(most)
 
 
+def salt_of(column: Column, salts: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(salts)).cast("int")
+
+
+def _bit(salt: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), salt)
+
+
+def salts_seen(salt: Column) -> Column:
+    """An aggregate of fixed width: a bit for each of the salts, 63 at most, that a group's rows have."""
+    return F.bit_or(_bit(salt))
+
+
+def per_salt(groups: DataFrame, bits: str, salt: str, salts: int) -> DataFrame:
+    """`groups` once for each salt that their `bits` name, so that rows meet their group by key and salt."""
+    named = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.col(bits).bitwiseAND(_bit(s)) != 0)
+    return groups.withColumn(salt, F.explode(named)).drop(bits)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder under the session's shared one, deleted when the session ends."""
     root = spark.conf.get(_CHECKPOINT_DIR, None)

@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import fold_ascii, staged, table
+from tiffin.llm.common import fold_ascii, per_salt, salt_of, salts_seen, staged, table
 
 SALTS = 16
 _ID, _TEXT, _DIGEST, _COPY = "__dedup_id", "__dedup_text", "__dedup_digest", "__dedup_copy"
@@ -36,10 +36,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _bit(salt: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), salt)
-
-
 def _groups(keyed: DataFrame) -> DataFrame:
     """One row per different text: digest, text, largest id, number of rows, salts that it has."""
     return (
@@ -49,7 +45,7 @@ def _groups(keyed: DataFrame) -> DataFrame:
         .agg(
             F.max("top").alias("keep_id"),
             F.sum("n").alias("group_size"),
-            F.bit_or(_bit(F.col(_SALT))).alias(_BITS),
+            salts_seen(F.col(_SALT)).alias(_BITS),
         )
     )
 
@@ -74,17 +70,9 @@ def _winners(keyed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return alone, exact
 
 
-def _per_salt(winners: DataFrame, salts: int) -> DataFrame:
-    """`winners` once for each salt that its documents have."""
-    named = F.filter(
-        F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.col(_BITS).bitwiseAND(_bit(s)) != 0
-    )
-    return winners.withColumn(_SALT, F.explode(named)).drop(_BITS)
-
-
 def _keyed(docs: DataFrame, id_col: str, text_col: str, salts: int, digest: Callable) -> DataFrame:
     text = fold_ascii(docs[text_col])
-    salt = F.pmod(F.xxhash64(docs[id_col]), F.lit(salts)).cast("int")
+    salt = salt_of(docs[id_col], salts)
     return docs.withColumns({_ID: docs[id_col], _SALT: salt, _TEXT: text, _DIGEST: digest(text)})
 
 
@@ -102,7 +90,7 @@ def exact_duplicates(
     def found(rows: DataFrame, winners: DataFrame, keys: list[str]) -> DataFrame:
         # An id has one salt, so its copies are already where the join has put them.
         copies = Window.partitionBy(*keys, _ID).orderBy(_ID)
-        joined = rows.join(_per_salt(winners, salts), keys).withColumn(_COPY, F.row_number().over(copies))
+        joined = rows.join(per_salt(winners, _BITS, _SALT, salts), keys).withColumn(_COPY, F.row_number().over(copies))
         return joined.select(
             F.col(_ID).alias("doc_id"),
             "keep_id",

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import hash_sample, staged, table, utf8
+from tiffin.llm.common import hash_sample, per_salt, salt_of, salts_seen, staged, table, utf8
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -50,6 +50,8 @@ SHARD_ROWS = 2048
 #: holds where fingerprints are spread out, so that only dense groups are cut.
 TILE_ROWS = 1 << 15
 MAX_DEPTH = 16
+#: Places that the neighbours of one node meet it in.
+SALTS = 16
 _BLOCK_CELLS = 1 << 21
 
 
@@ -268,7 +270,11 @@ def links(
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """node -> component (its smallest node) for every node of `edges` (a, b)."""
+    """node -> component (its smallest node) for every node of `edges` (a, b).
+
+    A node's neighbours meet its smallest one in SALTS places, so a hub is no task's work alone. Rounds grow with
+    the logarithm of a component's width; an error is raised if `max_rounds` do not settle it.
+    """
 
     def both_ways(e: DataFrame) -> DataFrame:
         return e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -278,9 +284,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         turned = both_ways(e) if large else e.select(
             F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
         )
-        least = turned.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select("a", F.least("a", "m").alias("m"))
-        moved = turned.join(least, "a")
+        turned = turned.withColumn("salt", salt_of(F.col("b"), SALTS))
+        least = turned.groupBy("a").agg(F.min("b").alias("m"), salts_seen(F.col("salt")).alias("bits"))
+        least = least.select("a", F.least("a", "m").alias("m"), "bits")
+        moved = turned.join(per_salt(least, "bits", "salt", SALTS), ["a", "salt"])
         if large:
             moved = moved.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
