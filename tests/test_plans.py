@@ -120,6 +120,27 @@ def test_band_join_joins_on_keys(stored, spark, sf_dir, tmp_path):
     assert shuffles(text) == 8
 
 
+def test_observed_orders_shuffle_their_inputs_only(stored, spark, sf_dir, tmp_path):
+    path = str(tmp_path / "weather")
+    Tables(spark, sf_dir).bronze("weather").write.parquet(path)
+    text = final(silver.observed_orders(stored["orders"], spark.read.parquet(path)))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    # orders and these by bucket; observations, these by values, and their stretches by bucket
+    assert shuffles(text) == 5 and not re.search(r"Exchange.*\n.*SortMergeJoin", text)
+    text = final(silver.first_observed(stored["orders"], spark.read.parquet(path)))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and text.count("SortMergeJoin") == 1
+
+
+def test_queries_make_no_more_matches_than_they_need(spark, sf_dir):
+    """Reports of the first observation do not make all; no query shuffles matches."""
+    for name in ("silver_deliveries_enriched", "gold_delivery_metrics_by_region", "gold_delivery_summary_daily"):
+        text = registry.run(name, spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "_first" not in text and "part#" not in text, name
+    for name in ("silver_weather_enriched", "band_join_bucketed", "dq_weather", "gold_daily_business_summary"):
+        text = registry.run(name, spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "_first" in text and "part#" not in text, name
+
+
 @pytest.mark.parametrize("check", ["ORDERS", "COMPLAINTS", "WEATHER"])
 def test_reports_read_a_table_once(stored, check):
     table = {"ORDERS": "orders", "COMPLAINTS": "complaints", "WEATHER": "weather"}[check]

@@ -9,7 +9,14 @@ from pyspark.sql import Window
 
 from tests.conftest import rows
 from tiffin.operators import intervals
-from tiffin.operators.band_join import PARTS, left_band_join
+from tiffin.operators.band_join import (
+    PARTS,
+    first_matches,
+    left_band_join,
+    left_first_join,
+    left_stretch_join,
+    stretch_join,
+)
 from tiffin.operators.dedup import first_per_key
 from tiffin.operators.intervals import with_end_time
 from tiffin.operators.rules import RuleSet, not_null
@@ -75,6 +82,40 @@ def test_band_edges(spark):
     assert rows(got) == rows(plain_band(left, right, 3600))
 
 
+def by_join(join, left, right, width):
+    left = left.select("id", F.struct("key", "second").alias("pair"))
+    return join(left, F.col("pair.key"), F.col("pair.second"), right, width, VALUES).drop("pair")
+
+
+@pytest.mark.parametrize("seed, width", [(1, 3600), (2, 100), (3, 1)])
+def test_stretch_and_first_joins_equal_plain_join(spark, seed, width):
+    left, right = band_tables(spark, seed)
+    want = plain_band(left, right, width)
+    assert rows(by_join(left_stretch_join, left, right, width)) == rows(want)
+    assert rows(by_join(left_stretch_join, left, right.limit(0), width)) == rows(plain_band(left, right.limit(0), width))
+    least = want.groupBy("id").agg(F.min(F.struct(*VALUES)).alias("v")).select("id", "v.*")
+    # an id has one pair, so its rows are one row
+    assert rows(by_join(left_first_join, left, right, width)) == rows(least)
+    pairs = left.select("key", "second").dropna().distinct()
+    near = (F.col("key") == F.col("_key")) & (F.abs(F.col("second") - F.col("at")) <= width)
+    found = pairs.join(right.withColumnRenamed("key", "_key"), near)
+    found = found.select("key", "second", *VALUES).distinct()
+    assert rows(stretch_join(pairs, right, width)) == rows(found)
+    first = found.groupBy("key", "second").agg(F.min(F.struct(*VALUES)).alias("v")).select("key", "second", "v.*")
+    assert rows(first_matches(pairs, right, width)) == rows(first)
+
+
+@pytest.mark.parametrize("seconds", [range(-7202, 10_803, 3600), range(-3601, 7300, 1200)])
+def test_stretch_and_first_joins_at_edges(spark, seconds):
+    places = sorted({s + d for s in seconds for d in (-1, 0, 1)})
+    left = spark.createDataFrame([(i, "k", s) for i, s in enumerate(places)], "id long, key string, second long")
+    right = spark.createDataFrame([("k", s, s % 5, "x") for s in places], "key string, at long, v long, w string")
+    want = plain_band(left, right, 3600)
+    assert rows(by_join(left_stretch_join, left, right, 3600)) == rows(want)
+    least = want.groupBy("id").agg(F.min(F.struct(*VALUES)).alias("v")).select("id", "v.*")
+    assert rows(by_join(left_first_join, left, right, 3600)) == rows(least)
+
+
 def history_table(spark, seed):
     """A third of the rows at one key and instant, a third at that key, and a third without one."""
     rng = random.Random(seed)
