@@ -136,3 +136,20 @@ def test_replaced_months_leave_the_others_alone(spark, store, database):
     assert spark.sql(f"SHOW PARTITIONS {database}.t").count() == 2
     store.replace_months(kept, "t", "t", [])
     assert rows(store.read("t"), "i") == [("20",), ("4",)]
+
+
+def test_near_ids_equal_a_plain_join(spark, sf_dir):
+    from tiffin.testbed.registry import Tables
+
+    t = Tables(spark, sf_dir)
+    orders, weather = t.orders(), t.bronze("weather").limit(500).localCheckpoint()
+    got = {r.order_id for r in refresh.near_ids(orders, weather).collect()}
+    seen = refresh._observed(weather).distinct()
+    placed = orders.selectExpr(
+        "order_id", "lower(trim(split_part(delivery_address, ',', 2))) AS city", "unix_timestamp(order_time) AS second"
+    )
+    near = (placed.city == seen.key) & (F.abs(placed.second - seen["at"]) <= 3600)
+    want = {r.order_id for r in placed.join(seen, near).select("order_id").collect()}
+    assert got == want and want
+    text = refresh.near_ids(orders, weather)._jdf.queryExecution().optimizedPlan().toString()
+    assert "part#" not in text
