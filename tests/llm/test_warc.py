@@ -128,3 +128,15 @@ def test_query_matches_plain_form(spark, sf_dir):
     found = warc.op6_warc(spark, sf_dir).collect()
     pages = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()]
     assert sorted((tuple(r)[:5] for r in found), key=repr) == plain(pages)
+
+
+def test_reading_some_types_gives_the_same_captures(spark, tmp_path):
+    pages = [(i, f"http://h/{i}", f"<p>{i % 3}\r\n\r\n</p>") for i in range(9)]
+    path = str(tmp_path / "some")
+    warc.write_warc(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    whole = warc.read_warc(spark, path)
+    parts = [warc.read_warc(spark, path, kind) for kind in (("response", "revisit"), ("request",), ("metadata",))]
+    for part, kinds in zip(parts, ({"response", "revisit"}, {"request"}, {"metadata"})):
+        assert {r.type for r in part.select("type").collect()} == kinds
+    want = sorted(map(repr, warc.assemble(whole).collect()))
+    assert sorted(map(repr, warc.assemble(*parts).collect())) == want and len(want) == 9

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -227,8 +227,9 @@ def _row(head: dict[str, str], block: bytes) -> tuple:
     )
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under `path`."""
+def read_warc(spark: SparkSession, path: str, types: Collection[str] | None = None) -> DataFrame:
+    """One row per record of the archives under `path`, or of those of some WARC-Types; others are cut
+    by their length and not looked into."""
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)
@@ -244,6 +245,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         parser.close()
                     file, parser = name, Parser()
                 for head, block in parser.feed(value.as_buffer().to_pybytes() + b"\r\n\r\n"):
+                    if types is not None and head.get("warc-type") not in types:
+                        continue
                     rows.append(_row(head, block))
                     size += len(block)
                     if size > 8 << 20 or len(rows) >= 4096:
@@ -265,15 +268,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return pieces.mapInArrow(run, layout)
 
 
-def assemble(found: DataFrame) -> DataFrame:
+def assemble(found: DataFrame, requests: DataFrame | None = None, metadata: DataFrame | None = None) -> DataFrame:
     """One row per capture of `found` (read_warc): capture_id, and the structs response (a response
-    or revisit record), request and metadata."""
+    or revisit record), request and metadata; these two from readings of their own if given."""
+    readings = {
+        "request": found if requests is None else requests,
+        "metadata": found if metadata is None else metadata,
+    }
     main = found.where(F.col("type").isin("response", "revisit")).select(
         F.col("record_id").alias("capture_id"),
         F.struct("type", "target_uri", "refers_to", "http", "payload", "payload_bytes", "payload_digest").alias("response"),
     )
     side = {
-        kind: found.where(F.col("type") == kind).select(
+        kind: readings[kind].where(F.col("type") == kind).select(
             F.col("concurrent_to").alias("capture_id"), F.struct("record_id", *columns).alias(kind)
         )
         for kind, columns in (("request", ["target_uri", "http"]), ("metadata", ["fields"]))
@@ -284,7 +291,8 @@ def assemble(found: DataFrame) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    return assemble(read_warc(spark, path)).select(
+    kinds = (("response", "revisit"), ("request",), ("metadata",))
+    return assemble(*[read_warc(spark, path, kind) for kind in kinds]).select(
         F.col("metadata.fields")["page-id"].try_cast("long").alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),
