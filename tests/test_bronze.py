@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tests.conftest import rows, ts
+from tests.conftest import plan, rows, ts
 from tiffin import schemas
 from tiffin.plans import silver
 from tiffin.plans.bronze import accepted, bronze, decode_json, recent, with_outcome
@@ -53,6 +53,11 @@ def test_cut_off(spark):
     assert rows(df, "order_id") == [("1",), ("5",), ("None",)]
 
 
+def test_a_message_is_decoded_once(spark):
+    found = bronze(messages(spark, '{"location": "a", "timestamp": "2024-01-02 00:00:00"}'), "weather", as_of())
+    assert plan(found).count("from_json") == 1
+
+
 def test_cut_off_column_per_topic(spark):
     complaint = messages(spark, '{"complaint_id": 1, "timestamp_received": "2024-01-02T00:00:00"}')
     assert bronze(complaint, "complaints", as_of()).count() == 1

@@ -34,14 +34,23 @@ def recent(
     horizon: str = settings.LATE_DATA_HORIZON,
 ) -> DataFrame:
     """Rows no older than `horizon` before `as_of` (the query's clock by default); NULL drops."""
+    return df.filter(F.col(time) >= _cut(as_of, horizon))
+
+
+def _cut(as_of: Column | None, horizon: str = settings.LATE_DATA_HORIZON) -> Column:
     clock = F.current_timestamp() if as_of is None else as_of
-    return df.filter(F.col(time) >= clock - F.expr(f"interval {horizon}"))
+    return clock - F.expr(f"interval {horizon}")
 
 
 def bronze(messages: DataFrame, topic: str, as_of: Column | None = None) -> DataFrame:
-    """Rows of one of the four topics, decoded and recent."""
+    """Rows of one of the four topics, decoded and recent.
+
+    The cut-off is applied to the decoded value: as a filter on rows Spark would push it below the
+    decoding, and make and decode every message twice.
+    """
     schema, time = schemas.MESSAGES[topic]
-    return recent(decode_json(messages, schema), time, as_of)
+    data = F.array(F.from_json(F.col("value").cast("string"), schema))
+    return messages.select(F.inline(F.filter(data, lambda row: row[time] >= _cut(as_of))))
 
 
 def with_outcome(messages: DataFrame, topic: str, as_of: Column | None = None) -> DataFrame:
@@ -55,8 +64,7 @@ def with_outcome(messages: DataFrame, topic: str, as_of: Column | None = None) -
     checked = StructType([*schema.fields, StructField(_DAMAGED, StringType())])
     decoded = F.from_json("message", checked, {"columnNameOfCorruptRecord": _DAMAGED})
     rows = messages.select(F.col("value").cast("string").alias("message")).withColumn("data", decoded)
-    clock = F.current_timestamp() if as_of is None else as_of
-    cut = clock - F.expr(f"interval {settings.LATE_DATA_HORIZON}")
+    cut = _cut(as_of)
     at, damaged = F.col("data")[time], F.col("data")[_DAMAGED]
     unread = F.when(F.col("data").isNull() | damaged.isNotNull(), UNDECODABLE).otherwise(NO_TIME)
     outcome = F.when(at >= cut, ACCEPTED).when(at < cut, LATE).otherwise(unread)
