@@ -141,6 +141,13 @@ def test_queries_make_no_more_matches_than_they_need(spark, sf_dir):
         assert "_first" in text and "part#" not in text, name
 
 
+def test_reports_that_count_matches_do_not_make_them(spark, sf_dir):
+    """Matches of a band join come out of a join with a condition on the stretch; counts come out of running sums."""
+    for name in ("dq_weather", "gold_daily_business_summary", "gold_weather_impact_summary"):
+        text = registry.run(name, spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("Join" in line and "_first" in line for line in text.splitlines()), name
+
+
 @pytest.mark.parametrize("check", ["ORDERS", "COMPLAINTS", "WEATHER"])
 def test_reports_read_a_table_once(stored, check):
     table = {"ORDERS": "orders", "COMPLAINTS": "complaints", "WEATHER": "weather"}[check]

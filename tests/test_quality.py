@@ -128,3 +128,16 @@ def test_status_check_keeps_whole_rows(spark, database):
     )
     run_check(store, CHECKS["order_status"])
     assert rows(store.read("silver_order_status_scd2_valid"), "order_id") == [("1",)]
+
+
+def test_kinds_of_weather_break_the_rules_of_their_values(spark):
+    numbers = [None, -400.0, -50.5, -50.0, -1.0, -0.0, 0.0, 60.0, 60.5, 300.0, 300.5, float("nan")]
+    values = [(a, a, a, None if a is None else "Rain") for a in numbers]
+    names = ["temperature", "precipitation", "wind_speed", "weather_condition"]
+    df = spark.createDataFrame(values, "temperature double, precipitation double, wind_speed double, weather_condition string")
+    df = df.select("*", *[F.lit(None).alias(c) for c in ("order_id", "order_time", "region")])
+    kinds = df.select("*", *[k.alias(f"k_{n}") for n, k in quality.weather_kinds().items()]).drop(*names)
+    kinds = kinds.withColumnsRenamed({f"k_{n}": n for n in names})
+    assert rows(quality.WEATHER.report(kinds)) == rows(quality.WEATHER.report(df))
+    twice = quality.WEATHER.report(kinds.withColumn("times", F.lit(2)), F.col("times"))
+    assert rows(twice) == rows(quality.WEATHER.report(df.union(df)))

@@ -13,8 +13,10 @@ from tiffin.operators.band_join import (
     PARTS,
     first_matches,
     left_band_join,
+    left_count_join,
     left_first_join,
     left_stretch_join,
+    match_counts,
     stretch_join,
 )
 from tiffin.operators.dedup import first_per_key
@@ -116,6 +118,41 @@ def test_stretch_and_first_joins_at_edges(spark, seconds):
     assert rows(by_join(left_first_join, left, right, 3600)) == rows(least)
 
 
+def kinds_of_values():
+    return {"odd": F.col("v") % 2 == 1, "w": F.col("w")}
+
+
+@pytest.mark.parametrize("seed, width", [(1, 3600), (2, 100), (3, 1)])
+def test_counts_equal_counted_matches(spark, seed, width):
+    left, right = band_tables(spark, seed)
+    right = right.withColumn("v", F.when(F.col("v") != 7, F.col("v")))  # a NULL kind too
+    pairs = left.select("key", "second").dropna().distinct()
+    near = (F.col("key") == F.col("_key")) & (F.abs(F.col("second") - F.col("at")) <= width)
+    found = pairs.join(right.withColumnRenamed("key", "_key"), near).select("key", "second", *VALUES).distinct()
+    kinds = kinds_of_values()
+    want = found.select("key", "second", *[k.alias(n) for n, k in kinds.items()])
+    want = want.groupBy("key", "second", *kinds).agg(F.count("*").alias("times"))
+    assert rows(match_counts(pairs, right, width, kinds)) == rows(want)
+    # Per row of the left, with those that find none
+    joined = left_count_join(left.select("id", F.struct("key", "second").alias("pair")), F.col("pair.key"),
+                             F.col("pair.second"), right, width, kinds).drop("pair")
+    every = plain_band(left, right, width).select("id", *[k.alias(n) for n, k in kinds.items()])
+    # `plain_band` keeps a row of NULLs for those that find none, whose kinds are NULL
+    assert rows(joined) == rows(every.groupBy("id", *kinds).agg(F.count("*").alias("times")))
+    assert rows(left_count_join(left, F.col("key"), F.col("second"), right.limit(0), width, kinds).select("id", "times")) == rows(
+        left.select("id").distinct().withColumn("times", F.lit(1))
+    )
+
+
+@pytest.mark.parametrize("seconds", [range(-7202, 10_803, 3600), range(-3601, 7300, 1200), range(-7203, 14_405, 7201)])
+def test_counts_at_edges(spark, seconds):
+    places = sorted({s + d for s in seconds for d in (-1, 0, 1)})
+    pairs = spark.createDataFrame([("k", s) for s in places], "key string, second long")
+    right = spark.createDataFrame([("k", s, s % 5, "x") for s in places], "key string, at long, v long, w string")
+    want = stretch_join(pairs, right, 3600).groupBy("key", "second", "w").agg(F.count("*").alias("times"))
+    assert rows(match_counts(pairs, right, 3600, {"w": F.col("w")})) == rows(want)
+
+
 def history_table(spark, seed):
     """A third of the rows at one key and instant, a third at that key, and a third without one."""
     rng = random.Random(seed)
