@@ -140,3 +140,25 @@ def test_reading_some_types_gives_the_same_captures(spark, tmp_path):
         assert {r.type for r in part.select("type").collect()} == kinds
     want = sorted(map(repr, warc.assemble(whole).collect()))
     assert sorted(map(repr, warc.assemble(*parts).collect())) == want and len(want) == 9
+
+
+def test_query_reads_its_archive_once_and_leaves_payloads_there(spark, sf_dir, tmp_path):
+    text = warc.op6_warc(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("MapInArrow") == 1
+    pages = [(1, "http://h/1", "<p>é</p>"), (2, "http://h/2", "")]
+    path = str(tmp_path / "bare")
+    warc.write_warc(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    found = warc.read_warc(spark, path, payloads=False).where("type = 'response'").collect()
+    assert sorted((r.payload, r.payload_bytes, r.payload_digest) for r in found) == sorted(
+        (None, len(h.encode()), digest(h)) for _, _, h in pages
+    )
+
+
+def test_records_that_repeat_or_name_no_capture(spark):
+    schema = "record_id string, type string, concurrent_to string, refers_to string, target_uri string, http string, payload binary, payload_bytes long, payload_digest string, fields map<string,string>"
+    row = lambda i, kind, to: (i, kind, to, None, "u", "h", None, None, None, None)
+    rows = [row("a", "response", "x"), row("x", "request", "a"), row("y", "request", "a"), row("m", "metadata", "a"),
+            row(None, "revisit", None), row("z", "request", None), row("w", "warcinfo", "a")]
+    found = warc.assemble(spark.createDataFrame(rows, schema)).collect()
+    got = sorted(((r.capture_id, r.request and r.request.record_id, r.metadata and r.metadata.record_id) for r in found), key=repr)
+    assert got == [("a", "x", "m"), ("a", "y", "m"), (None, None, None)]

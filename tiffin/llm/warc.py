@@ -11,8 +11,8 @@ Reading. A task reads the files of its split piece by piece at the same separato
 pieces together again; records are cut by their Content-Length, so payloads may hold anything, and one
 record is in memory at a time. Payload digests are computed anew and must agree with the header.
 
-Assembly. Requests and metadata are joined to their response or revisit through the concurrent-to
-identifiers, giving one nested row per capture.
+Assembly. Requests and metadata meet their response or revisit through the concurrent-to identifiers, in
+one grouping of one reading, giving one nested row per capture.
 
 Defined results: a null html is an empty payload; a null url an empty target. Null page_ids are
 smaller than any other. Rows that repeat page_id and payload are captures of their own, of which the
@@ -25,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Collection, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -206,7 +207,7 @@ def _field_lines(text: str) -> list[tuple[str, str]]:
     return [(name.strip().lower(), value.strip()) for name, _, value in parts]
 
 
-def _row(head: dict[str, str], block: bytes) -> tuple:
+def _row(head: dict[str, str], block: bytes, payloads: bool) -> tuple:
     kind, http, payload, size, digest, fields = head.get("warc-type"), None, None, None, None, None
     if kind in ("request", "response", "revisit"):
         http, payload = _http(block)
@@ -215,6 +216,7 @@ def _row(head: dict[str, str], block: bytes) -> tuple:
         size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
         if written and written != digest:
             raise ValueError(f"{head.get('warc-record-id')}: the payload does not match its digest")
+        payload = payload if payloads else None
     elif kind == "revisit":  # its payload is that of the response; length and digest are kept
         payload, digest = None, written
         size = next((int(v) for k, v in _field_lines(http) if k == "content-length"), None)
@@ -227,9 +229,12 @@ def _row(head: dict[str, str], block: bytes) -> tuple:
     )
 
 
-def read_warc(spark: SparkSession, path: str, types: Collection[str] | None = None) -> DataFrame:
+def read_warc(
+    spark: SparkSession, path: str, types: Collection[str] | None = None, payloads: bool = True
+) -> DataFrame:
     """One row per record of the archives under `path`, or of those of some WARC-Types; others are cut
-    by their length and not looked into."""
+    by their length and not looked into. Without `payloads` a response's is measured, hashed and compared
+    with its header all the same, but null in the row."""
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)
@@ -247,7 +252,7 @@ def read_warc(spark: SparkSession, path: str, types: Collection[str] | None = No
                 for head, block in parser.feed(value.as_buffer().to_pybytes() + b"\r\n\r\n"):
                     if types is not None and head.get("warc-type") not in types:
                         continue
-                    rows.append(_row(head, block))
+                    rows.append(_row(head, block, payloads))
                     size += len(block)
                     if size > 8 << 20 or len(rows) >= 4096:
                         yield batch(rows)
@@ -271,28 +276,36 @@ def read_warc(spark: SparkSession, path: str, types: Collection[str] | None = No
 def assemble(found: DataFrame, requests: DataFrame | None = None, metadata: DataFrame | None = None) -> DataFrame:
     """One row per capture of `found` (read_warc): capture_id, and the structs response (a response
     or revisit record), request and metadata; these two from readings of their own if given."""
-    readings = {
-        "request": found if requests is None else requests,
-        "metadata": found if metadata is None else metadata,
-    }
-    main = found.where(F.col("type").isin("response", "revisit")).select(
-        F.col("record_id").alias("capture_id"),
-        F.struct("type", "target_uri", "refers_to", "http", "payload", "payload_bytes", "payload_digest").alias("response"),
-    )
-    side = {
-        kind: readings[kind].where(F.col("type") == kind).select(
-            F.col("concurrent_to").alias("capture_id"), F.struct("record_id", *columns).alias(kind)
-        )
-        for kind, columns in (("request", ["target_uri", "http"]), ("metadata", ["fields"]))
-    }
-    return main.join(side["request"], "capture_id", "left").join(side["metadata"], "capture_id", "left")
+    kinds = {
+        "response": (found, ["response", "revisit"], "record_id",
+                     ["type", "target_uri", "refers_to", "http", "payload", "payload_bytes", "payload_digest"]),
+        "request": (found if requests is None else requests, ["request"], "concurrent_to", ["record_id", "target_uri", "http"]),
+        "metadata": (found if metadata is None else metadata, ["metadata"], "concurrent_to", ["record_id", "fields"]),
+    }
+    wanted: dict[int, tuple[DataFrame, Column]] = {}  # per reading
+    capture = F.lit(None).cast("string")
+    for reading, types, key, _ in kinds.values():
+        # What names no capture has none; a response without an id is a capture of its own.
+        here = F.col("type").isin(types) & (F.col(key).isNotNull() | F.lit(key == "record_id"))
+        capture = F.when(F.col("type").isin(types), F.col(key)).otherwise(capture)
+        _, others = wanted.get(id(reading), (reading, F.lit(False)))
+        wanted[id(reading)] = reading, others | here
+    rows = reduce(DataFrame.unionByName, [reading.where(here) for reading, here in wanted.values()])
+    lists = [
+        F.collect_list(F.when(F.col("type").isin(types), F.struct(*columns))).alias(name)
+        for name, (_, types, _, columns) in kinds.items()
+    ]
+    rows = rows.withColumn("capture_id", capture).groupBy("capture_id").agg(*lists).where(F.size("response") > 0)
+    rows = rows.withColumn("response", F.explode("response"))
+    for name in ("request", "metadata"):
+        rows = rows.withColumn(name, F.explode_outer(name))
+    return rows
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    kinds = (("response", "revisit"), ("request",), ("metadata",))
-    return assemble(*[read_warc(spark, path, kind) for kind in kinds]).select(
+    return assemble(read_warc(spark, path, payloads=False)).select(
         F.col("metadata.fields")["page-id"].try_cast("long").alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),
