@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tiffin.llm import exact_dedup
+from tiffin.llm import exact_dedup, simhash
 from tiffin.llm.common import per_salt, salt_of, salts_seen
 from tiffin.llm.simhash import components
 
@@ -31,3 +31,23 @@ def test_copies_of_one_text_meet_their_result_in_several_places(spark):
     kept = found.where("kept").collect()
     assert [(r.doc_id, r.group_size) for r in kept] == [(4_999, 5_000)]
     assert found.where("keep_id = 4999 AND group_size = 5000").count() == 5_000
+
+
+def test_rounds_write_few_files(spark, monkeypatch):
+    """Not a file for each partition of a shuffle, in every round: each costs its task processes on local disks."""
+    files, write = [], simhash.staged
+
+    def counted(df, name, *rows):
+        files.append((name, len((found := write(df, name, *rows)).inputFiles()), *rows))
+        return found
+
+    monkeypatch.setattr(simhash, "staged", counted)
+    off = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(off, "false")
+    try:
+        edges = spark.range(300).selectExpr("id AS a", "id + 1 AS b").where("a % 10 <> 9").repartition(4)
+        found = {r.node: r.component for r in simhash.components(edges, rows=270).collect()}
+    finally:
+        spark.conf.unset(off)
+    assert found == {i: i - i % 10 for i in range(300)}
+    assert len(files) > 3 and all(n == 1 for _, n, *_ in files)

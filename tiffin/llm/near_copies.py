@@ -139,10 +139,11 @@ def _cells(prints: DataFrame) -> DataFrame:
     bands = keyed.groupBy("key").agg(
         F.min("node").alias("least"), F.max("node").alias("most"), salts_seen(F.col("salt")).alias("bits")
     )
-    bands = staged(bands.where("least < most").select("key", "least", "bits"), "bands")
+    rows = BANDS * prints.count()
+    bands = staged(bands.where("least < most").select("key", "least", "bits"), "bands", rows)
     ties = keyed.join(per_salt(bands, "bits", "salt", SALTS), ["key", "salt"]).where("node > least")
     ties = ties.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    return components(ties).withColumnRenamed("component", "cell")
+    return components(ties, rows=rows).withColumnRenamed("component", "cell")
 
 
 def _sets(docs: DataFrame, cells: DataFrame, text_col: str) -> DataFrame:
@@ -174,18 +175,19 @@ def links(sets: DataFrame, part_texts: int = PART_TEXTS, part_elements: int = PA
     sizes = sets.groupBy("cell").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / part_texts, F.sum(F.size("elements")) / part_elements)).cast("int").alias("parts")
     )
+    rows = sets.count()
     # Cells of several parts: few, as each holds many texts or long ones.
-    large = F.broadcast(staged(sizes.where("parts > 1"), "large"))
+    large = F.broadcast(staged(sizes.where("parts > 1"), "large", rows))
     parts = F.coalesce("parts", F.lit(1))
     dealt = sets.join(large, "cell", "left").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
     everywhere = F.when(F.col("node") == F.col("cell"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array("part"))
     alone = dealt.select("cell", F.explode(everywhere).alias("tile"), "node", "elements")
     first = staged(alone.groupBy("cell", "tile").applyInPandas(_verified, "a long, b long"), "links")
     # Cells that are not one component yet.
-    joined = components(first)
+    joined = components(first, rows=first.count())
     several = sets.join(large, "cell").select("cell", "node").join(joined, "node", "left")
     several = several.select("cell", "node", F.coalesce("component", "node").alias("label"))
-    several = staged(several, "labels")
+    several = staged(several, "labels", rows)
     open_cells = several.groupBy("cell").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
     rest = dealt.where("parts > 1").join(F.broadcast(open_cells.select("cell")), "cell", "left_semi")
     rest = rest.join(several.drop("cell"), "node")

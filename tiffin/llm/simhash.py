@@ -269,8 +269,8 @@ def links(
     return tiled.groupBy(*keys).applyInPandas(run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """node -> component (its smallest node) for every node of `edges` (a, b).
+def components(edges: DataFrame, max_rounds: int = 60, rows: int | None = None) -> DataFrame:
+    """node -> component (its smallest node) for every node of `edges` (a, b), about `rows` if known.
 
     A node's neighbours meet its smallest one in SALTS places, so a hub is no task's work alone. Rounds grow with
     the logarithm of a component's width; an error is raised if `max_rounds` do not settle it.
@@ -299,13 +299,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
 
-    now = staged(edges.where("a <> b"), "edges")
-    before = None
+    now = staged(edges.where("a <> b"), "edges", rows)
+    before, size = None, now.count()
     for _ in range(max_rounds):
-        now = staged(star(star(now, large=True), large=False), "edges")
+        now = staged(star(star(now, large=True), large=False), "edges", size)
         if (after := state(now)) == before:
             break
-        before = after
+        before, size = after, after[0]
     else:
         raise RuntimeError("components did not settle")
     # Settled: stars whose centres are the components' smallest nodes.
