@@ -56,3 +56,17 @@ def test_pipeline_stage(spark, sf_dir):
     want = components([(r.doc_id, r.text) for r in docs.collect()])
     assert sorted(r.doc_id for r in found.collect()) == want
     assert len(want) < docs.count()
+
+
+def test_linked_fingerprints_are_candidates(spark):
+    """Texts meet by op9's search too, also where no band does."""
+    docs = [(1, "a b c d e f g"), (2, "A b c  d e f g h"), (3, ""), (4, "É b c d é f")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.fp for r in near_copies._prints(frame, "doc_id", "text").collect()}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    assert found == {i: signed(near_copies.simhash.fingerprint_of(t.encode(), 5)) for i, t in docs}
+    rows = [(10, 0b0, [1]), (11, 0b111, [2]), (12, 0b111111, [3]), (13, 0b1111 << 40, [4]), (14, 1 << 62, [5]), (15, 1 << 62, [6]), (16, -1, [7])]
+    prints = spark.createDataFrame(rows, "node long, fp long, keys array<long>")
+    cells = {r.node: r.cell for r in near_copies._cells(prints).collect()}
+    # 14 and 15 share a fingerprint, one bit from that of 10; 13 is four bits from it.
+    assert cells == {n: 10 for n in (10, 11, 12, 14, 15)}

@@ -3,9 +3,12 @@
 A text's set holds the hashes of its runs of five words. Texts are linked when the sets of the two
 have a Jaccard similarity of at least 0.8, which is always computed from the whole sets:
 
-1. Candidates: texts that agree in one of BANDS bands of BAND_ROWS minhashes each. A pair with a
-   similarity of 0.8 is missed with a chance of (1 - 0.8^5)^25 = 5 in 100,000, a more similar one less
-   often. Each band's texts are tied to the smallest of them, and tied texts form cells.
+1. Candidates: texts whose SimHash fingerprints, over the same shingles, are linked by the search of
+   `simhash` (vantage-point trees over both halves, exact), and, since similar texts may differ in more
+   bits than its radius, texts that agree in one of BANDS bands of BAND_ROWS minhashes each. A pair with
+   a similarity of 0.8 that the fingerprints do not link is missed with a chance of (1 - 0.8^5)^25 = 5 in
+   100,000, a more similar one less often. The texts of a band, or of a component of fingerprints, are
+   tied to the smallest of them, and tied texts form cells.
 2. A cell's sets are compared in parts of bounded size. First each part together with the cell's
    smallest text, which a group of near copies mostly agrees with; then, for cells of several parts
    that are not one component by then, each pair of parts. Pairs already connected are skipped, and
@@ -33,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from tiffin.llm.common import per_salt, salt_of, salts_seen, staged, utf8
-from tiffin.llm.simhash import SALTS, _Forest, _shingle_hashes, components
+from tiffin.llm import simhash
+from tiffin.llm.simhash import SALTS, _Forest, _shingle_hashes, components, majority
 
 SHINGLE_WORDS = 5
 #: Least Jaccard similarity of a link, as numerator and denominator.
@@ -109,21 +113,23 @@ def similar_links(
 
 
 def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: doc_id, node, keys (of its bands)."""
+    """Per row: doc_id, node, fp (its fingerprint), keys (of its bands)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys = [], []
+            nodes, fps, keys = [], [], []
             for text in batch.column(1):
                 words = words_of(text.as_buffer().to_pybytes())
+                hashes = _shingle_hashes(words, SHINGLE_WORDS)
                 nodes.append(node_of(words))
-                keys.append(band_keys(set_of(words)).view(np.int64))
-            nodes = pa.array(np.array(nodes, dtype=np.uint64).view(np.int64))
-            keys = pa.array(keys, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), nodes, keys], ["doc_id", "node", "keys"])
+                fps.append(majority(hashes) if words else 0)
+                keys.append(band_keys(np.unique(hashes)).view(np.int64))
+            numbers = [pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in (nodes, fps)]
+            columns = [batch.column(0), *numbers, pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp", "keys"])
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), utf8(docs[text_col]).alias("t"))
-    return rows.mapInArrow(run, "doc_id long, node long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, node long, fp long, keys array<long>")
 
 
 @F.pandas_udf(LongType())
@@ -132,14 +138,31 @@ def _node(texts: pd.Series) -> pd.Series:
     return pd.Series(nodes.view(np.int64))
 
 
+def _linked_prints(prints: DataFrame, rows: int) -> DataFrame:
+    """node, key: nodes whose fingerprints are linked, directly or through others, have one key."""
+    salt = salt_of(F.col("node"), SALTS)
+    fps = prints.groupBy("fp").agg(
+        F.min("node").alias("least"), F.max("node").alias("most"), salts_seen(salt).alias("bits")
+    )
+    fps = staged(fps, "fingerprints", rows)
+    member = components(simhash.links(fps.select("fp"))).withColumnRenamed("node", "fp")
+    several = fps.join(member, "fp", "left").where("component IS NOT NULL OR least < most")
+    several = several.select("fp", F.coalesce("component", "fp").alias("key"), "bits")
+    places = prints.select("node", "fp", salt.alias("salt"))
+    return places.join(per_salt(several, "bits", "salt", SALTS), ["fp", "salt"]).select("node", "key")
+
+
 def _cells(prints: DataFrame) -> DataFrame:
-    """node, cell of every node that shares a band with another one. A band that many texts share
-    meets them in SALTS places."""
-    keyed = prints.select("node", F.explode("keys").alias("key"), salt_of(F.col("node"), SALTS).alias("salt"))
+    """node, cell of every node that shares a band, or linked fingerprints, with another one. What many
+    texts share meets them in SALTS places."""
+    rows = prints.count()
+    linked = staged(_linked_prints(prints, rows), "linked", rows)
+    keyed = prints.select("node", F.explode("keys").alias("key")).union(linked)
+    keyed = keyed.withColumn("salt", salt_of(F.col("node"), SALTS))
     bands = keyed.groupBy("key").agg(
         F.min("node").alias("least"), F.max("node").alias("most"), salts_seen(F.col("salt")).alias("bits")
     )
-    rows = BANDS * prints.count()
+    rows *= BANDS
     bands = staged(bands.where("least < most").select("key", "least", "bits"), "bands", rows)
     ties = keyed.join(per_salt(bands, "bits", "salt", SALTS), ["key", "salt"]).where("node > least")
     ties = ties.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()

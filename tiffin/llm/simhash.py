@@ -75,9 +75,11 @@ def _shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
 def fingerprint_of(text: bytes, width: int = SHINGLE_WORDS) -> int:
     """The unsigned fingerprint of a UTF-8 text."""
     words = text.lower().split()  # of bytes: A-Z, and white space \x20 \x09-\x0d, only
-    if not words:
-        return 0
-    hashes = _shingle_hashes(words, width)
+    return majority(_shingle_hashes(words, width)) if words else 0
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the `hashes` have set."""
     votes = np.zeros(64, dtype=np.int64)
     for start in range(0, len(hashes), 1 << 16):  # bounds the unpacked bits
         block = hashes[start : start + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
