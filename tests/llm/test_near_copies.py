@@ -70,3 +70,27 @@ def test_linked_fingerprints_are_candidates(spark):
     cells = {r.node: r.cell for r in near_copies._cells(prints).collect()}
     # 14 and 15 share a fingerprint, one bit from that of 10; 13 is four bits from it.
     assert cells == {n: 10 for n in (10, 11, 12, 14, 15)}
+
+
+def test_tables_between_steps_are_few_files(spark, monkeypatch):
+    """Not one for each partition of the input or of a shuffle: each costs its task processes on local disks."""
+    files, write = {}, near_copies.staged
+
+    def counted(df, name, *rows):
+        found = write(df, name, *rows)
+        files.setdefault(name, []).append(len(found.inputFiles()))
+        return found
+
+    monkeypatch.setattr(near_copies, "staged", counted)
+    monkeypatch.setattr(near_copies.simhash, "staged", counted)
+    off = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(off, "false")
+    try:
+        docs = corpus()
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+        found = near_copies.drop_near_copies(frame, part_texts=8)
+        assert sorted(r.doc_id for r in found.collect()) == components(docs)
+    finally:
+        spark.conf.unset(off)
+    assert {"prints", "sets", "links", "edges"} <= set(files)
+    assert all(n == 1 for counts in files.values() for n in counts), files

@@ -161,3 +161,21 @@ def test_query_matches_plain_form(spark, sf_dir, plain):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     used = check(found, docs, plain, 4096)
     assert used <= -(-sum(r.length for r in found) // 4096) + 1
+
+
+def test_workers_keep_no_words_after_the_task(spark):
+    """A Python worker is used again by later steps, whose memory would come on top."""
+
+    def kept(batches):
+        import gc
+
+        from tiffin.llm.packing import Words
+
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"n": [sum(isinstance(o, Words) for o in gc.get_objects())]})
+
+    docs = spark.range(40, numPartitions=4).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    assert packing.pieces(docs, packing.tokenizer_file()).count() == 40
+    found = spark.range(40, numPartitions=4).mapInArrow(kept, "n long").collect()
+    assert [r.n for r in found] == [0] * 4

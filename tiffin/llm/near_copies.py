@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tiffin.llm.common import per_salt, salt_of, salts_seen, staged, utf8
+from tiffin.llm.common import FILE_ROWS, per_salt, salt_of, salts_seen, staged, utf8
 from tiffin.llm import simhash
 from tiffin.llm.simhash import SALTS, _Forest, _shingle_hashes, components, majority
 
@@ -46,6 +46,8 @@ BANDS, BAND_ROWS = 25, 5
 SEED = 7
 #: Texts, and elements of their sets, in a part of a cell, about.
 PART_TEXTS, PART_ELEMENTS = 512, 1 << 20
+#: Rows of fingerprints and band keys, and sets, that a staged file holds, about.
+FILE_PRINTS, FILE_SETS = 1 << 15, 1 << 13
 _random = np.random.default_rng(SEED)
 _FLIPS = _random.integers(0, 1 << 64, (BANDS * BAND_ROWS, 1), dtype=np.uint64)
 _FACTORS = _random.integers(0, 1 << 64, (BANDS * BAND_ROWS, 1), dtype=np.uint64) | np.uint64(1)
@@ -112,6 +114,11 @@ def similar_links(
     return links
 
 
+def _dealt(df: DataFrame, rows: int, file_rows: int = FILE_ROWS) -> DataFrame:
+    """`df`, about `rows` rows, to be written in few files. What makes its rows keeps its tasks, unlike under `coalesce`."""
+    return df.repartition(-(-max(rows, 1) // file_rows))
+
+
 def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per row: doc_id, node, fp (its fingerprint), keys (of its bands)."""
 
@@ -145,7 +152,7 @@ def _linked_prints(prints: DataFrame, rows: int) -> DataFrame:
         F.min("node").alias("least"), F.max("node").alias("most"), salts_seen(salt).alias("bits")
     )
     fps = staged(fps, "fingerprints", rows)
-    member = components(simhash.links(fps.select("fp"))).withColumnRenamed("node", "fp")
+    member = components(simhash.links(fps.select("fp")), rows=rows).withColumnRenamed("node", "fp")
     several = fps.join(member, "fp", "left").where("component IS NOT NULL OR least < most")
     several = several.select("fp", F.coalesce("component", "fp").alias("key"), "bits")
     places = prints.select("node", "fp", salt.alias("salt"))
@@ -162,11 +169,10 @@ def _cells(prints: DataFrame) -> DataFrame:
     bands = keyed.groupBy("key").agg(
         F.min("node").alias("least"), F.max("node").alias("most"), salts_seen(F.col("salt")).alias("bits")
     )
-    rows *= BANDS
-    bands = staged(bands.where("least < most").select("key", "least", "bits"), "bands", rows)
+    bands = bands.where("least < most").select("key", "least", "bits")
     ties = keyed.join(per_salt(bands, "bits", "salt", SALTS), ["key", "salt"]).where("node > least")
     ties = ties.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    return components(ties, rows=rows).withColumnRenamed("component", "cell")
+    return components(ties, rows=rows * BANDS).withColumnRenamed("component", "cell")
 
 
 def _sets(docs: DataFrame, cells: DataFrame, text_col: str) -> DataFrame:
@@ -205,7 +211,8 @@ def links(sets: DataFrame, part_texts: int = PART_TEXTS, part_elements: int = PA
     dealt = sets.join(large, "cell", "left").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
     everywhere = F.when(F.col("node") == F.col("cell"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array("part"))
     alone = dealt.select("cell", F.explode(everywhere).alias("tile"), "node", "elements")
-    first = staged(alone.groupBy("cell", "tile").applyInPandas(_verified, "a long, b long"), "links")
+    first = alone.groupBy("cell", "tile").applyInPandas(_verified, "a long, b long")
+    first = staged(_dealt(first, rows), "links")
     # Cells that are not one component yet.
     joined = components(first, rows=first.count())
     several = sets.join(large, "cell").select("cell", "node").join(joined, "node", "left")
@@ -218,7 +225,7 @@ def links(sets: DataFrame, part_texts: int = PART_TEXTS, part_elements: int = PA
     tiles = rest.select("cell", F.least("part", "other").alias("row"), F.greatest("part", "other").alias("col"),
                         "part", "label", "node", "elements")
     second = tiles.groupBy("cell", "row", "col").applyInPandas(_verified, "a long, b long")
-    return first.union(second)
+    return _dealt(first.union(second), rows)
 
 
 def drop_near_copies(
@@ -226,9 +233,9 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: one for each component, of its smallest
     doc_id. Of rows that share words and doc_id the first by all columns' hash stays."""
-    prints = staged(_prints(docs, id_col, text_col), "prints")
+    prints = staged(_dealt(_prints(docs, id_col, text_col), docs.count(), FILE_PRINTS), "prints")
     cells = _cells(prints)
-    sets = staged(_sets(docs, cells, text_col), "sets")
+    sets = staged(_dealt(_sets(docs, cells, text_col), cells.count(), FILE_SETS), "sets")
     member = components(links(sets, **limits))
     nodes = prints.groupBy("node").agg(F.min("doc_id").alias("first_id"))
     linked = nodes.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -53,7 +53,7 @@ GENERATIONS = 8
 REOPENED_BINS = 2
 #: Sequences that a shard's tokens fill at least, on average, so that a level reopens at most half of them.
 SHARD_BINS = 4 * REOPENED_BINS
-#: Words whose ids a Python worker remembers; it forgets all when there are more.
+#: Words whose ids a task remembers; it forgets all when there are more.
 CACHED_WORDS = 500_000
 #: Text whose words are numbered at a time, and ids that are returned at a time.
 _TEXT_BYTES, _BATCH_BYTES = 8 << 20, 16 << 20
@@ -145,15 +145,6 @@ class WordTokenizer:
             yield flat[np.repeat(shift, size) + np.arange(size.sum())].tobytes()
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
-def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
-
-
 _PIECE = pa.schema(
     [
         ("uid", pa.int64()),
@@ -186,7 +177,8 @@ def pieces(
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(tokenizer)
+        # Ends with the task: a worker lives on, idle or for other steps, and would keep some 100 MB of words.
+        encode = WordTokenizer(tokenizer)
         uid = TaskContext.get().partitionId() << 36
         for whole in batches:
             for batch in byte_slices(whole, 1, _TEXT_BYTES, whole.num_rows):
