@@ -177,6 +177,11 @@ def pieces(
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from numbered(batches)
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Ends with the task: a worker lives on, idle or for other steps, and would keep some 100 MB of words.
         encode = WordTokenizer(tokenizer)
         uid = TaskContext.get().partitionId() << 36
