@@ -265,3 +265,17 @@ def test_business_summary_with_a_hot_order(spark, sf_dir):
     )
     got = got.withColumn("avg_delivery_delay", F.round("avg_delivery_delay", 6))
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_values_seen_all_day_are_one_stretch(spark):
+    """Else a row is compared with each of them, and the comparisons grow faster than the rows."""
+    from tiffin.operators import band_join
+
+    seen = spark.range(0, 86_400, 60).selectExpr("'x' AS key", "id AS at", "id DIV 60 % 2 AS v")
+    late = spark.range(1).selectExpr("'x' AS key", "86340L + 7202L AS at", "1L AS v")
+    found = band_join._stretches(seen.union(late), 3_600).orderBy("v", "_first").collect()
+    assert [(r.v, r._first, r._last) for r in found] == [(0, -3_600, 89_880), (1, -3_540, 89_940), (1, 89_942, 97_142)]
+    pairs = spark.range(-4_000, 100_000, 7).selectExpr("'x' AS key", "id AS second")
+    rows = band_join.stretch_join(pairs, seen.union(late), 3_600)
+    want = band_join.band_matches(pairs, seen.union(late), 3_600)
+    assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
