@@ -13,6 +13,7 @@ from tiffin.sinks.tables import MONTH, TableStore
 from tiffin.sources.messages import message_files_stream
 from tiffin.streaming.changes import Changes
 from tiffin.testbed import fixtures
+from tiffin.testbed.registry import run
 
 TOPICS = {"orders": "event_time", "complaints": "timestamp_received", "weather": "timestamp"}
 
@@ -153,3 +154,26 @@ def test_near_ids_equal_a_plain_join(spark, sf_dir):
     assert got == want and want
     text = refresh.near_ids(orders, weather)._jdf.queryExecution().optimizedPlan().toString()
     assert "part#" not in text
+
+
+def test_settled_changes_are_deleted(spark, database, tmp_path):
+    spark.sql(f"CREATE TABLE {database}.t (a INT) USING parquet")
+    changes = Changes(spark, f"{database}.t", str(tmp_path / "changes"))
+    for a in (1, 2):
+        spark.sql(f"INSERT INTO {database}.t VALUES ({a})")
+        changes.collect()
+        changes.settle(changes.last())
+        assert not [f for f in os.listdir(tmp_path / "changes" / "rows") if f.startswith("batch=")]
+    assert changes.last() is None and changes.pending().isEmpty()
+    spark.sql(f"INSERT INTO {database}.t VALUES (3)")
+    changes.collect()
+    assert rows(changes.pending(), "a") == [("3",)]
+
+
+def test_a_refresh_leaves_nothing_staged(spark, sf_dir, tmp_path):
+    """Neither its inbox nor rows kept on the way stay on the disk; only the result does."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = {f for f, _, names in os.walk(shared) if any(n.endswith((".parquet", ".txt", ".lz4")) for n in names)}
+    found = run("full_run_refreshed", spark, sf_dir)
+    after = {f for f, _, names in os.walk(shared) if any(n.endswith((".parquet", ".txt", ".lz4")) for n in names)}
+    assert {os.path.basename(f) for f in after - before} == {"deliveries"} and not found.isEmpty()
