@@ -1,4 +1,5 @@
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -276,3 +277,25 @@ def test_batch_bronze_reads_everything_again(spark, database, tmp_path):
     assert TableStore(spark, database).read("weather_bronze").count() == 2
     with pytest.raises(ValueError, match="filled by batch"):
         jobs.main([*common, "--checkpoint", str(tmp_path / "check")])
+
+
+def test_jobs_run_at_once_and_after_their_inputs():
+    done, both = [], threading.Barrier(2, timeout=20)
+
+    def step(name, wait=False):
+        def run():
+            if wait:
+                both.wait()  # passes only if two steps are under way
+            done.append(name)
+
+        return run
+
+    jobs.run_in_order({"a": ((), step("a", True)), "b": ((), step("b", True)), "c": (("a", "b", "x"), step("c"))})
+    assert sorted(done[:2]) == ["a", "b"] and done[2:] == ["c"]
+
+    def fail():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        jobs.run_in_order({"a": ((), fail), "d": (("a",), step("d"))})
+    assert "d" not in done
